@@ -6,16 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Plain decimal or exponent notation. Testing the text first keeps bad values
+# out of the number parsers, where each one would cost a Java exception, and
+# refuses number suffixes, hexadecimal forms, NaN and infinities.
+_UNSIGNED = r"([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+_PLAIN = rf"^[+-]?{_UNSIGNED}$"
+_NOT_NEGATIVE = rf"^(\+?{_UNSIGNED}|-(0+\.?0*|\.0+)([eE][+-]?[0-9]+)?)$"
+
+
+def non_negative_double(value: Column) -> Column:
+    """Double at least zero or NULL."""
+    text = F.trim(value)
+    return F.when(text.rlike(_NOT_NEGATIVE), text.try_cast("double"))
+
+
 def bounded_double(
     value: Column, low: float | None = None, high: float | None = None
 ) -> Column:
-    """Double inside ``[low, high]`` or NULL.
-
-    Java number suffixes, hexadecimal forms, NaN and infinities are refused.
-    """
+    """Double inside ``[low, high]`` or NULL."""
     text = F.trim(value)
-    number = F.when(~text.rlike("[dDfFxX]"), text.try_cast("double"))
-    fits = ~F.isnan(number)
+    number = F.when(text.rlike(_PLAIN), text.try_cast("double"))
+    fits = F.lit(True)
     if low is not None:
         fits = fits & (number >= low)
     if high is not None:
@@ -25,10 +36,10 @@ def bounded_double(
 
 def fixed_decimal(value: Column, precision: int, scale: int, rounding: bool = False) -> Column:
     """Non-negative decimal or NULL; surplus digits are cut unless ``rounding``."""
-    wide = F.trim(value).try_cast("decimal(38,12)")
-    target = f"decimal({precision},{scale})"
+    text = F.trim(value)
+    wide = text.try_cast("decimal(38,12)")
     kept = wide if rounding else F.floor(wide, F.lit(scale))
-    return F.when(wide >= 0, kept.try_cast(target))
+    return F.when(text.rlike(_NOT_NEGATIVE), kept.try_cast(f"decimal({precision},{scale})"))
 
 
 def amount_or_zero(value: Column, precision: int = 12, scale: int = 2) -> Column:

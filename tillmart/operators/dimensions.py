@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from tillmart.functions.calendar import calendar_columns
 from tillmart.functions.keys import key64, key_or_null
 from tillmart.functions.moments import day_until, moment, parse_day, seconds_moment
-from tillmart.functions.numbers import bounded_double, fixed_decimal, small_positive_int
+from tillmart.functions.numbers import (
+    bounded_double,
+    fixed_decimal,
+    non_negative_double,
+    small_positive_int,
+)
 from tillmart.functions.text import (
     GROUP_DROP,
     LIST_DROP,
@@ -97,7 +102,7 @@ def dim_delivery_address(customers: DataFrame, as_of, stamp=None, hasher=key64)
 def dim_product(products: DataFrame, as_of, stamp=None, hasher=key64) -> DataFrame:
     product_id = tidy(F.col("id"))
     nutrition = {
-        name: bounded_double(F.col(f"kbju_{name}"), low=0)
+        name: non_negative_double(F.col(f"kbju_{name}"))
         for name in ("calories", "protein", "fat", "carbohydrates")
     }
     columns = {

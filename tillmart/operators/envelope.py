@@ -38,25 +38,22 @@ def open_envelopes(envelopes: DataFrame, schema: str | StructType, received_at)
     text = F.trim("json_data")
     is_object = text.startswith("{") & text.endswith("}")
     has_time = F.coalesce("event_time", F.lit("")) != ""
-    broken = F.col(f"_parsed.{_CORRUPT}").isNotNull() & F.try_parse_json("json_data").isNull()
+    flagged = F.col(f"doc.{_CORRUPT}").isNotNull() | ~is_object
+    reason = (
+        F.when(F.coalesce("json_data", F.lit("")) == "", "missing json_data")
+        .when(flagged & F.try_parse_json("json_data").isNull(), "invalid json")
+        .when(~is_object, "not an object")
+        .when(F.col("event_clock").isNull(), "invalid event_time")
+    )
+    clock = F.when(has_time, fixed_offset_clock(F.col("event_time"))).otherwise(
+        moment(received_at)
+    )
+    # A one-element explode keeps later filters above the parse, which would
+    # otherwise be copied into the filter and run twice per message.
     return (
-        envelopes.withColumn("_parsed", parsed)
-        .withColumn(
-            "event_clock",
-            F.when(has_time, fixed_offset_clock(F.col("event_time"))).otherwise(
-                moment(received_at)
-            ),
-        )
-        .withColumn(
-            "reject_reason",
-            F.when(F.coalesce("json_data", F.lit("")) == "", "missing json_data")
-            .when(broken, "invalid json")
-            .when(~is_object, F.when(F.try_parse_json("json_data").isNull(), "invalid json")
-                  .otherwise("not an object"))
-            .when(F.col("event_clock").isNull(), "invalid event_time"),
-        )
-        .withColumn("doc", F.col("_parsed"))
-        .drop("_parsed")
+        envelopes.select("*", F.explode(F.array(parsed)).alias("doc"))
+        .withColumn("event_clock", clock)
+        .withColumn("reject_reason", reason)
     )
 
 

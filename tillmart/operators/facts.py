@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from tillmart.functions.keys import key64
 from tillmart.functions.moments import date_key, moment, moment_or
-from tillmart.functions.numbers import amount_or_zero, bounded_double, fixed_decimal, quantity_or_one
+from tillmart.functions.numbers import (
+    amount_or_zero,
+    fixed_decimal,
+    non_negative_double,
+    quantity_or_one,
+)
 from tillmart.functions.text import GROUP_DROP, is_blank, tidy, truthy
 from tillmart.operators.dimensions import delivery_address_parts, location_key, maker_key
 
@@ -60,7 +65,7 @@ def fact_purchase_items(purchases: DataFrame, as_of, stamp=None, hasher=key64) -
         fixed_decimal(F.col("item.price_per_unit"), 10, 2), F.lit(0).cast("decimal(10,2)")
     )
     nutrition = [
-        bounded_double(F.col(f"item.kbju_{n}"), low=0).alias(f"item_{n}")
+        non_negative_double(F.col(f"item.kbju_{n}")).alias(f"item_{n}")
         for n in ("calories", "protein", "fat", "carbohydrates")
     ]
     return lines.select(

@@ -195,10 +195,10 @@ def _line_branch(headers: DataFrame, lines: DataFrame, settings, with_sums: bool
         )
     )
     group = F.col("product_group")
-    windows = ("all", *settings.windows)
+    tests = {name: in_category(group, getattr(settings, name)) for name in _CATEGORY_WINDOWS}
     categories = {
-        f"{name}_{w}": _total(in_category(group, getattr(settings, name)), F.col(f"_lines_{w}"))
-        for name in ("dairy", "fruit", "veggie", "meat", "bakery")
+        _category_metric(name, w): _total(tests[name], F.col(f"_lines_{w}"))
+        for name, windows in _CATEGORY_WINDOWS.items()
         for w in windows
     }
     return per_group.groupBy("customer_id").agg(
@@ -209,6 +209,20 @@ def _line_branch(headers: DataFrame, lines: DataFrame, settings, with_sums: bool
     )
 
 
+# Day windows in which each category is counted.
+_CATEGORY_WINDOWS = {
+    "dairy": ("all", "30d"),
+    "fruit": ("all", "14d", "30d"),
+    "veggie": ("all", "14d"),
+    "meat": ("all", "7d", "90d"),
+    "bakery": ("all",),
+}
+
+
+def _category_metric(name: str, window: str) -> str:
+    return f"{name}_purchases" if window == "all" else f"{name}_purchases_{window}"
+
+
 # Metric columns in output order; the category counts carry their day window.
 METRICS = (
     "total_purchases", "first_purchase_date", "last_purchase_date",
@@ -246,14 +260,9 @@ def customer_metrics(
     )
     by_line = _line_branch(dated if weighted else plain, lines, settings, weighted)
     joined = by_header.join(by_line, "customer_id")
-    renamed = {f"{c}_purchases": F.col(f"{c}_all")
-               for c in ("dairy", "fruit", "veggie", "meat", "bakery")}
-    windowed = {f"{c}_purchases_{w}": F.col(f"{c}_{w}")
-                for c, w in (("dairy", "30d"), ("fruit", "14d"), ("fruit", "30d"),
-                             ("veggie", "14d"), ("meat", "7d"), ("meat", "90d"))}
     cart = (F.col("total_spent") / F.nullif("amount_rows", F.lit(0))).cast("decimal(16,6)")
     items = F.try_divide(F.col("items_total").cast("double"), F.col("items_rows"))
-    derived = {**renamed, **windowed, "avg_cart_amount": cart, "avg_items_count": items}
+    derived = {"avg_cart_amount": cart, "avg_items_count": items}
     return joined.select(
         "customer_id", *[derived.get(m, F.col(m)).alias(m) for m in METRICS]
     )
@@ -337,10 +346,10 @@ def customer_features(
         "customer_id", "customer_sk", "registration_date", "is_loyalty_member"
     )
     rows = people.join(metrics, "customer_id", "left")
-    expressions = _flags(settings, as_of)
+    conditions = _flags(settings, as_of)
     flags = []
     for name in FLAGS:
-        value = expressions[name].cast("int")
+        value = conditions[name].cast("int")
         if null_as_zero:
             value = F.coalesce(value, F.lit(0))
         flags.append(value.alias(name))

@@ -301,7 +301,7 @@ def _(spark, d):
     x = F.col("x")
     return portable(rows.select(
         *_LINE_KEY,
-        numbers.bounded_double(x, low=0).alias("non_negative"),
+        numbers.non_negative_double(x).alias("non_negative"),
         numbers.bounded_double(x, -180, 180).alias("bounded"),
         numbers.fixed_decimal(x, 12, 2).alias("price"),
         numbers.amount_or_zero(x).alias("amount"),

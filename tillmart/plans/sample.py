@@ -7,6 +7,8 @@ purpose (blank, out of range, wrong type) to exercise the cleaning rules.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -353,7 +355,7 @@ def _nested(schema: StructType, exprs: dict[str, str], lists, parents=(), item=N
         if isinstance(field.dataType, StructType):
             value = F.struct(*_nested(field.dataType, exprs, lists, path))
         elif isinstance(field.dataType, ArrayType):
-            value = F.expr(f"transform(sequence(1, cast({ITEM_RANGE} as int)), i -> {_item_struct()})")
+            value = F.expr(_item_array(_item_struct()))
         else:
             value = F.expr(exprs[".".join(path)])
             if "_".join(path) in lists:
@@ -362,6 +364,12 @@ def _nested(schema: StructType, exprs: dict[str, str], lists, parents=(), item=N
     return fields
 
 
+def _item_array(element: str) -> str:
+    """The first one to three items, written out so that Spark compiles them."""
+    members = ", ".join(re.sub(r"\bi\b", str(i), element) for i in (1, 2, 3))
+    return f"slice(array({members}), 1, cast({ITEM_RANGE} as int))"
+
+
 def _item_struct() -> str:
     tree: dict = {}
     for path, sql in _ITEM.items():
@@ -409,9 +417,7 @@ def raw_table(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     for path, dtype in leaf_paths(ENTITIES[topic].schema):
         if isinstance(dtype, ArrayType):
             flat = ", ".join(f"'{n}', {sql}" for n, sql in flat_item_exprs().items())
-            sql = (
-                f"transform(sequence(1, cast({ITEM_RANGE} as int)), i -> named_struct({flat}))"
-            )
+            sql = _item_array(f"named_struct({flat})")
         else:
             sql = exprs[".".join(path)]
         columns.append(F.expr(sql).alias("_".join(path)))

@@ -17,6 +17,11 @@ _SESSION_DEFAULTS = {
     # measured size is below this bound, and fall back to a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # HotSpot never compiles methods above 8000 bytes of bytecode. Wide cleaning
+    # projections exceed that, and run faster as split, non-fused projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Call-site capture doubles the time to build wide plans from Python.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Keeps HMAC pads (64-byte binary literals) out of printed plans.
     "spark.sql.redaction.string.regex": "[0-9A-Fa-f]{128}",
 }
