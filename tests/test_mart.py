@@ -178,3 +178,33 @@ def test_bucketed_facts_join_without_shuffle(spark, sample_dir):
     assert "Exchange hashpartitioning(purchase_id" not in plan_of(joined)
     assert joined.count() == tables["purchases"].join(
         fold_lines(tables["items"], tables["products"]), "purchase_id", "left").count()
+
+
+def test_hot_product_is_split_by_aqe_when_products_are_too_big_to_broadcast(spark):
+    from tillmart.operators.features import fold_lines
+
+    items = spark.range(0, 200000, numPartitions=8).selectExpr(
+        "concat('o', id) as purchase_id", "case when id % 3 = 0 then 'hot' else concat('p', id % 5000) end as product_id")
+    products = spark.range(5000).selectExpr("concat('p', id) as product_id", "concat('g', id % 7) as product_group",
+                                            "1 as is_organic").union(
+        spark.sql("select 'hot', 'g', 0"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        folded = fold_lines(items, products)
+        assert folded.agg(F.sum("_lines")).first()[0] == 200000
+        folded.collect()
+        assert "skew=true" in plan_of(folded)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -134,6 +134,9 @@ def test_result_sinks(spark, tmp_path, sample_dir):
         sinks.replace_table(df, "missing_table")
     with pytest.raises(ValueError):
         sinks.write_results(df, "2026-03-08", ("xml",), str(tmp_path))
+    exported = sinks.export_results(df, str(tmp_path / "store"), "2026-03-08")
+    assert exported["csv"] == sinks.export_path(str(tmp_path / "store"), "csv", "2026-03-08")
+    assert spark.read.csv(exported["csv"], header=True).count() == 1
     assert sinks.export_path("scheme://bucket/", "csv", datetime(2026, 3, 8)) == (
         "scheme://bucket/analytics/analytic_result_2026_03_08.csv")
 

@@ -134,6 +134,12 @@ def to_raw(envelopes: DataFrame, topic: str, received_at) -> DataFrame:
     return flatten(accepted(open_envelopes(envelopes, entity.schema, received_at)), entity)
 
 
+def with_entity_id(raw: DataFrame, topic: str) -> DataFrame:
+    """Adds ``entity_id``, the topic's natural key, ``?`` when it is missing."""
+    key = F.col(f"`{ENTITIES[topic].id_column}`")
+    return raw.withColumn("entity_id", F.when(key == "", "?").otherwise(key))
+
+
 def with_month(raw: DataFrame) -> DataFrame:
     """Adds ``event_month``, the partition column of raw storage."""
     return raw.withColumn("event_month", month_key(F.col("event_time")))

@@ -146,4 +146,6 @@ def analyze_table(name: str, df: DataFrame, key: Sequence[str] | str, version: s
     if files is None:
         return stats.withColumn("files", F.lit(None).cast("bigint"))
     counted = file_count(files).select(F.lit(name).alias("table"), "files")
-    return stats.join(counted, "table")
+    both = stats.unionByName(counted, allowMissingColumns=True)
+    others = [c for c in both.columns if c != "table"]
+    return both.groupBy("table").agg(*[F.max(c).alias(c) for c in others])

@@ -447,6 +447,20 @@ def _register_raw() -> None:
 
 _register_raw()
 
+@register("topic_id_routing", oracle.with_(
+    oracle.raw_ctes(*[f"raw_{t}" for t in ENTITIES]),
+    " union all ".join(
+        f"select '{t}' as topic, case when {e.id_column} = '' then '?' else {e.id_column} end as entity_id from raw_{t}"
+        for t, e in ENTITIES.items())))
+def _(spark, d):
+    parts = [
+        envelope.with_entity_id(sample.raw_table(spark, d, t), t)
+        .select(F.lit(t).alias("topic"), "entity_id")
+        for t in ENTITIES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _ITEM_NAMES = list(sample.flat_item_exprs())
 
 

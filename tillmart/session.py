@@ -39,6 +39,9 @@ def build_session(app: str = "tillmart", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -47,11 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    chosen = tempfile.mkdtemp(prefix="tillmart-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tillmart-")
+    return _local_dirs[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

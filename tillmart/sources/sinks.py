@@ -50,6 +50,11 @@ def export_path(root: str, fmt: str, as_of) -> str:
     return f"{root.rstrip('/')}/{EXPORT_FOLDER}/{dated_name(as_of, fmt)}"
 
 
+def export_results(df: DataFrame, root: str, as_of, formats: Sequence[str] = ("csv", "json")) -> dict[str, str]:
+    """Writes dated results straight below an object-store root."""
+    return write_results(df, as_of, formats, folder=f"{root.rstrip('/')}/{EXPORT_FOLDER}")
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     """Truncate and refill an existing catalog table; error if it is missing."""
     if not df.sparkSession.catalog.tableExists(table):
@@ -129,17 +134,30 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[st
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All batches below ``path``; an empty frame before the first write."""
+def _read_or_empty(spark: SparkSession, root: str, path: str, schema: StructType) -> DataFrame:
     full = StructType([*schema.fields]).add("batch_id", LongType())
     try:
-        return spark.read.schema(full).parquet(path)
+        return spark.read.schema(full).option("basePath", root).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], full)
 
 
+def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All batches below ``path``; an empty frame before the first write."""
+    return _read_or_empty(spark, path, path, schema)
+
+
+def read_batch(
+    spark: SparkSession, path: str, schema: StructType, batch_id: int,
+    partitions: Sequence[str] = (),
+) -> DataFrame:
+    """One batch; only its own folders are listed, however long the history."""
+    levels = "".join(f"/{p}=*" for p in partitions)
+    return _read_or_empty(spark, path, f"{path}{levels}/batch_id={batch_id}", schema)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Small report table as JSON lines."""
     report.write.mode("overwrite").json(path)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillmart.entities import ENTITIES, Entity
 from tillmart.functions.moments import month_key
@@ -27,7 +27,8 @@ from tillmart.operators.envelope import (
 )
 from tillmart.operators.mart import TARGETS, build_target, current
 from tillmart.operators.versions import latest_by_key
-from tillmart.sources.sinks import read_batches, write_batch
+from tillmart.sources.messages import ENVELOPE
+from tillmart.sources.sinks import read_batch, read_batches, write_batch
 
 DEAD_LETTERS = "dead_letters"
 _DEAD_SCHEMA = StructType(
@@ -60,10 +61,9 @@ class Layout:
 
 def raw_schema(spark: SparkSession, entity: Entity) -> StructType:
     """Schema of a stored raw table, month column included."""
-    head = [StructField("json_data", StringType()), StructField("event_time", TimestampNTZType())]
-    doc = StructType([*head, StructField("doc", StructType([*entity.schema.fields]).add("_corrupt", "string"))])
-    empty = spark.createDataFrame([], doc).withColumn("event_clock", F.col("event_time"))
-    return with_month(flatten(empty, entity)).schema
+    empty = spark.createDataFrame([], ENVELOPE)
+    opened = open_envelopes(empty, entity.schema, "1970-01-01")
+    return with_month(flatten(opened, entity)).schema
 
 
 def read_raw(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
@@ -119,7 +119,8 @@ def cascade_batch(
     for name, target in TARGETS.items():
         if target.source not in topics:
             continue
-        raw = read_raw(spark, layout, target.source).where(F.col("batch_id") == batch_id)
+        schema = raw_schema(spark, ENTITIES[target.source])
+        raw = read_batch(spark, layout.raw(target.source), schema, batch_id, ("event_month",))
         versions = _stored(name, build_target(name, raw, as_of, by_event_time=True))
         months = ("purchase_month",) if name in _MONTHS else ()
         write_batch(versions, layout.mart(name), batch_id, months)
