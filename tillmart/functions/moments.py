@@ -52,12 +52,16 @@ def moment_or(value: Column, as_of) -> Column:
     return F.when(parsed <= limit, parsed).otherwise(limit)
 
 
-def fixed_offset_clock(value: Column, offset: str = "+03:00") -> Column:
-    """Wall clock at ``offset`` of ISO text; text without a zone is kept as is."""
-    instant = F.convert_timezone(
-        F.current_timezone(), F.lit(offset), value.try_cast("timestamp").cast("timestamp_ntz")
-    )
-    return F.when(value.rlike(_OFFSET), instant).otherwise(parse_moment(value))
+def fixed_offset_clock(value: Column, hours: int = 3) -> Column:
+    """Wall clock at a whole-hour offset of ISO text; text without a zone is kept.
+
+    Plain microsecond arithmetic: no zone lookup per row and no dependence on
+    the session time zone.
+    """
+    micros = F.unix_micros(value.try_cast("timestamp")) + hours * 3_600_000_000
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    clock = F.timestamp_add("MICROSECOND", micros, epoch)
+    return F.when(value.rlike(_OFFSET), clock).otherwise(parse_moment(value))
 
 
 def date_key(day: Column) -> Column:

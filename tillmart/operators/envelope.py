@@ -48,13 +48,10 @@ def open_envelopes(envelopes: DataFrame, schema: str | StructType, received_at)
     clock = F.when(has_time, fixed_offset_clock(F.col("event_time"))).otherwise(
         moment(received_at)
     )
-    # A one-element explode keeps later filters above the parse, which would
+    # A one-element inline keeps later filters above the parse, which would
     # otherwise be copied into the filter and run twice per message.
-    return (
-        envelopes.select("*", F.explode(F.array(parsed)).alias("doc"))
-        .withColumn("event_clock", clock)
-        .withColumn("reject_reason", reason)
-    )
+    once = F.inline(F.array(F.struct(parsed.alias("doc"), clock.alias("event_clock"))))
+    return envelopes.select("*", once).withColumn("reject_reason", reason)
 
 
 def accepted(opened: DataFrame) -> DataFrame:
