@@ -63,6 +63,20 @@ def test_batch_time_stamp_is_as_of(raw):
     assert str(row.created_at) == str(row.updated_at) == "2001-08-02 00:00:00"
 
 
+def test_registration_bound_is_optional(spark, raw):
+    late = raw["customers"].withColumn("registration_date", F.lit("2050-01-01T00:00:00"))
+    plain = mart.dimensions.dim_customer(late, AS_OF)
+    bounded = mart.dimensions.dim_customer(late, AS_OF, past_registration=True)
+    assert plain.where("registration_date is null").count() == 0
+    assert bounded.where("registration_date is not null").count() == 0
+
+
+def test_key_collisions(spark):
+    rows = [(1, "a", "x"), (1, "a", "x"), (1, "b", "x"), (2, "c", "x")]
+    df = spark.createDataFrame(rows, "sk int, a string, b string")
+    assert tuple(quality.key_collisions(df, "sk", ["a", "b"]).first()) == (3, 2, 1)
+
+
 def test_holidays(spark):
     days = spark.sql("select date '2026-01-01' as d union all select date '2026-01-09'")
     holidays = spark.sql("select date '2026-01-01' as full_date union all select date '2026-01-01'")

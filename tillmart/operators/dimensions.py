@@ -123,8 +123,14 @@ def dim_product(products: DataFrame, as_of, stamp=None, hasher=key64) -> DataFra
     return products.select(*_named(columns), *_audit(as_of, stamp))
 
 
-def dim_customer(customers: DataFrame, as_of, stamp=None, hasher=key64) -> DataFrame:
+def dim_customer(
+    customers: DataFrame, as_of, stamp=None, hasher=key64, past_registration: bool = False
+) -> DataFrame:
+    """``past_registration`` also drops registration times after ``as_of``."""
     customer_id = tidy(F.col("customer_id"))
+    registered = seconds_moment(F.col("registration_date"))
+    if past_registration:
+        registered = F.when(registered <= moment(as_of), registered)
     columns = {
         "customer_sk": hasher(customer_id),
         "customer_id": customer_id,
@@ -135,7 +141,7 @@ def dim_customer(customers: DataFrame, as_of, stamp=None, hasher=key64) -> DataF
         "phone": tidy(F.col("phone"), default="", lower=False),
         "birth_date": day_until(F.col("birth_date"), as_of, EARLIEST_BIRTH),
         "gender": tidy(F.col("gender")),
-        "registration_date": seconds_moment(F.col("registration_date")),
+        "registration_date": registered,
         "is_loyalty_member": truthy(F.col("is_loyalty_member")),
         "loyalty_card_number": tidy(F.col("loyalty_card_number"), default=""),
         "preferred_language": tidy(F.col("preferences_preferred_language")),

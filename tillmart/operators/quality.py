@@ -126,6 +126,17 @@ def orphan_report(
     return _union(parts)
 
 
+def key_collisions(df: DataFrame, surrogate: str, natural: Sequence[str]) -> DataFrame:
+    """Natural keys, surrogate keys, and surrogate keys shared by several."""
+    pairs = df.select(surrogate, *natural).distinct()
+    per_key = pairs.groupBy(surrogate).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("natural_keys"),
+        F.count(F.lit(1)).alias("surrogate_keys"),
+        F.count_if(F.col("_n") > 1).alias("colliding_keys"),
+    )
+
+
 def file_count(df: DataFrame) -> DataFrame:
     """Number of files behind a file-based table; reads no data columns."""
     paths = df.select(F.col("_metadata.file_path").alias("path")).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.entities import ENTITIES
-from tillmart.functions.moments import moment
+from tillmart.functions.moments import moment, month_key
 from tillmart.operators.envelope import wrap
 from tillmart.operators.features import DEFAULTS, ITEM, FeatureSettings, customer_features
 from tillmart.operators.mart import FEATURES_KEY, FEATURES_VERSION, TARGETS
@@ -17,9 +17,9 @@ from tillmart.operators.pseudonymise import pseudonymise
 from tillmart.operators.quality import analyze_table
 from tillmart.operators.versions import dedup_by_columns, latest_by_key
 from tillmart.sources.messages import publish_files
-from tillmart.sources.sinks import FORMATS, write_results
+from tillmart.sources.sinks import FORMATS, write_partitioned, write_results
 from tillmart.sources.tables import FEATURE_INPUTS, extract
-from tillmart.streaming.ingest import Layout, start_ingest
+from tillmart.streaming.ingest import Layout, read_mart, start_ingest
 
 VERSIONED = "version"
 BY_COLUMNS = "columns"
@@ -67,6 +67,23 @@ def ingest(
     return query
 
 
+def publish_mart(spark: SparkSession, root: str, as_of, out_dir: str) -> None:
+    """Writes the current rows of all targets: the compacted form of the mart.
+
+    Headers are partitioned by purchase month. The version store is left as it
+    is; a failed run can be repeated.
+    """
+    layout = Layout(root)
+    for name in TARGETS:
+        rows = read_mart(spark, layout, name, as_of)
+        path = f"{out_dir}/{name}"
+        if name == "fact_purchases":
+            months = rows.withColumn("purchase_month", month_key(F.col("raw_event_time")))
+            write_partitioned(months, path, ["purchase_month"])
+        else:
+            rows.write.mode("overwrite").parquet(path)
+
+
 def feature_inputs(read: Callable[[str], DataFrame], dedupe: bool = True) -> dict[str, DataFrame]:
     """Feature inputs through a reader, one row per key unless ``dedupe`` is off."""
     tables = extract(read)

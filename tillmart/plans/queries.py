@@ -738,6 +738,21 @@ def _(spark, d):
     )
 
 
+_LINE_SK = oracle.key32("cast(l_orderkey as string)", "cast(l_linenumber as string)")
+
+
+@register("key_collisions", f"""
+    select cast(sum(n) as bigint) as natural_keys, count(*) as surrogate_keys,
+      count(*) filter (where n > 1) as colliding_keys
+    from (select sk, count(distinct (l_orderkey, l_linenumber)) as n
+      from (select *, {_LINE_SK} as sk from lineitem) group by sk)""")
+def _(spark, d):
+    keyed = table(spark, d, "lineitem").select(
+        *_LINE_ID, key32(*[F.col(c).cast("string") for c in _LINE_ID]).alias("sk")
+    )
+    return quality.key_collisions(keyed, "sk", _LINE_ID)
+
+
 # --- monitoring -------------------------------------------------------------------
 
 _TABLES = ("customer", "events", "lineitem", "orders", "part", "supplier")
@@ -925,6 +940,16 @@ def _(spark, d):
     return portable(stored.drop("batch_id"))
 
 
+@register("stream_upsert_by_key", f"""
+    select event_id, {oracle.clock('ts')} as ts, user_id, event_type, value, props from events""")
+def _(spark, d):
+    root = fresh_dir(spark, "upsert")
+    events = sample.table_stream(spark, d, "events")
+    twice = events.unionByName(sample.table_stream(spark, d, "events"))
+    ingest.upsert_stream(twice, f"{root}/rows", f"{root}/state", ["event_id"]).awaitTermination()
+    return portable(ingest.newest(spark, f"{root}/rows", events.schema, "event_id", "ts"))
+
+
 # --- sinks ------------------------------------------------------------------------
 
 _FILE_SQL = oracle.with_(

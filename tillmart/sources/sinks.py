@@ -123,6 +123,20 @@ def append_raw(raw: DataFrame, path: str) -> None:
     with_month(raw).write.mode("append").partitionBy("event_month").parquet(path)
 
 
+def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+    """Replaces a table partitioned by ``partitions``.
+
+    Rebalancing gathers each partition value into few files while AQE splits
+    values that are too large for one task.
+    """
+    (
+        df.hint("rebalance", *partitions)
+        .write.mode("overwrite")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
     """Rows of one micro-batch; writing the same batch again replaces them."""
     (

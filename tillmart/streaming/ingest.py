@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tillmart.entities import ENTITIES, Entity
-from tillmart.functions.moments import month_key
+from tillmart.entities import ENTITIES
 from tillmart.operators.envelope import (
     accepted,
     flatten,
@@ -34,8 +33,6 @@ DEAD_LETTERS = "dead_letters"
 _DEAD_SCHEMA = StructType(
     [StructField(n, StringType()) for n in ("topic", "json_data", "event_time", "reject_reason")]
 )
-# Header versions are stored by purchase month so that readers can prune.
-_MONTHS = {"fact_purchases": "raw_event_time"}
 
 
 @dataclass(frozen=True)
@@ -59,35 +56,33 @@ class Layout:
         return f"{self.root}/_checkpoint"
 
 
-def raw_schema(spark: SparkSession, entity: Entity) -> StructType:
+_raw_schemas: dict[str, StructType] = {}
+
+
+def raw_schema(spark: SparkSession, topic: str) -> StructType:
     """Schema of a stored raw table, month column included."""
-    empty = spark.createDataFrame([], ENVELOPE)
-    opened = open_envelopes(empty, entity.schema, "1970-01-01")
-    return with_month(flatten(opened, entity)).schema
+    if topic not in _raw_schemas:
+        entity = ENTITIES[topic]
+        opened = open_envelopes(spark.createDataFrame([], ENVELOPE), entity.schema, "1970-01-01")
+        _raw_schemas[topic] = with_month(flatten(opened, entity)).schema
+    return _raw_schemas[topic]
 
 
 def read_raw(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
-    return read_batches(spark, layout.raw(topic), raw_schema(spark, ENTITIES[topic]))
+    return read_batches(spark, layout.raw(topic), raw_schema(spark, topic))
 
 
 def read_dead_letters(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_batches(spark, layout.dead, _DEAD_SCHEMA)
 
 
-def _stored(name: str, versions: DataFrame) -> DataFrame:
-    column = _MONTHS.get(name)
-    if column is None:
-        return versions
-    return versions.withColumn("purchase_month", month_key(F.col(column)))
-
-
 def read_mart(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFrame:
     """Current rows of one mart target."""
     source = TARGETS[name].source
-    empty = spark.createDataFrame([], raw_schema(spark, ENTITIES[source]))
-    schema = _stored(name, build_target(name, empty, as_of, by_event_time=True)).schema
+    empty = spark.createDataFrame([], raw_schema(spark, source))
+    schema = build_target(name, empty, as_of, by_event_time=True).schema
     versions = read_batches(spark, layout.mart(name), schema)
-    return current(name, versions.drop("batch_id", "purchase_month"))
+    return current(name, versions.drop("batch_id"))
 
 
 def ingest_batch(
@@ -116,14 +111,18 @@ def cascade_batch(
     spark: SparkSession, batch_id: int, layout: Layout, as_of, topics: Iterable[str]
 ) -> None:
     """Derives the mart versions of one batch from its written raw rows."""
+    batches = {
+        topic: read_batch(
+            spark, layout.raw(topic), raw_schema(spark, topic), batch_id, ("event_month",)
+        )
+        for topic in topics
+    }
     for name, target in TARGETS.items():
-        if target.source not in topics:
+        if target.source not in batches:
             continue
-        schema = raw_schema(spark, ENTITIES[target.source])
-        raw = read_batch(spark, layout.raw(target.source), schema, batch_id, ("event_month",))
-        versions = _stored(name, build_target(name, raw, as_of, by_event_time=True))
-        months = ("purchase_month",) if name in _MONTHS else ()
-        write_batch(versions, layout.mart(name), batch_id, months)
+        raw = batches[target.source]
+        versions = build_target(name, raw, as_of, by_event_time=True)
+        write_batch(versions, layout.mart(name), batch_id)
 
 
 def start_ingest(
@@ -156,12 +155,23 @@ def start_ingest(
 
 
 def upsert_stream(
-    rows: DataFrame, path: str, checkpoint: str, once: bool = True, every: str = "30 seconds"
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: list[str] | None = None,
+    once: bool = True,
+    every: str = "30 seconds",
 ) -> StreamingQuery:
-    """Appends each batch as versions below ``path``; read with :func:`newest`."""
-    writer = rows.writeStream.foreachBatch(
-        lambda batch, batch_id: write_batch(batch, path, batch_id)
-    ).option("checkpointLocation", checkpoint)
+    """Appends each batch as versions below ``path``; read with :func:`newest`.
+
+    With ``key`` the repeats inside a batch are combined map-side first, so one
+    often repeated message does not load a single task.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.dropDuplicates(key) if key else batch, path, batch_id)
+
+    writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": every}
     return writer.trigger(**trigger).start()
 

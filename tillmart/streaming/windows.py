@@ -50,7 +50,11 @@ def read_hourly_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def without_repeats(events: DataFrame, key: str, column: str, late: str) -> DataFrame:
-    """Drops repeats of ``key`` that arrive within ``late`` of each other."""
+    """Drops repeats of ``key`` that arrive within ``late`` of each other.
+
+    All repeats of a key in one batch pass through one task; bound the batch at
+    the source, or use ``upsert_stream(key=...)`` when single keys repeat a lot.
+    """
     return (
         events.withColumn(column, F.col(column).cast("timestamp"))
         .withWatermark(column, late)
