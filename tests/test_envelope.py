@@ -158,7 +158,7 @@ def test_log_records_round_trip(spark):
 def test_document_folders(spark, tmp_path):
     folder = tmp_path / "docs" / "products"
     folder.mkdir(parents=True)
-    (folder / "a.json").write_text(json.dumps({"id": "a", "kbju": {"fat": 1}}, indent=2), "utf-8")
+    (folder / "a.json").write_text("\n" + json.dumps({"id": "a", "kbju": {"fat": 1}}, indent=2) + "\r\n", "utf-8")
     (folder / "b.json").write_text('{"id": ', "utf-8")
     (folder / "c.txt").write_text("ignored", "utf-8")
     schema = ENTITIES["products"].schema

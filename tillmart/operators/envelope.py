@@ -35,7 +35,7 @@ def open_envelopes(envelopes: DataFrame, schema: str | StructType, received_at)
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     typed = StructType([*schema.fields]).add(_CORRUPT, "string")
     parsed = F.from_json("json_data", typed, {"columnNameOfCorruptRecord": _CORRUPT})
-    text = F.trim("json_data")
+    text = F.btrim("json_data", F.lit(" \t\r\n"))
     is_object = text.startswith("{") & text.endswith("}")
     has_time = F.coalesce("event_time", F.lit("")) != ""
     flagged = F.col(f"doc.{_CORRUPT}").isNotNull() | ~is_object

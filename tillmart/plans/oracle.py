@@ -168,8 +168,9 @@ def _cents(total: str, count: str) -> str:
     )
 
 
-def feature_ctes(grain: str, s: FeatureSettings, items_sql: str | None = None) -> dict[str, str]:
-    ctes = dict(MART)
+def feature_ctes(grain: str, s: FeatureSettings, items_sql: str | None = None,
+                 base: dict[str, str] | None = None) -> dict[str, str]:
+    ctes = dict(base or MART)
     if items_sql:
         ctes["all_items"] = ctes.pop("items")
         ctes["items"] = items_sql
@@ -315,14 +316,14 @@ def flag_sql(s: FeatureSettings) -> dict[str, str]:
 
 
 def features_ctes(grain: str, s: FeatureSettings, items_sql: str | None = None,
-                  zero: bool = False) -> dict[str, str]:
+                  zero: bool = False, base: dict[str, str] | None = None) -> dict[str, str]:
     flags = flag_sql(s)
 
     def one(name: str) -> str:
         value = f"cast(({flags[name]}) as int)"
         return f"coalesce({value}, 0)" if zero else value
 
-    ctes = feature_ctes(grain, s, items_sql)
+    ctes = feature_ctes(grain, s, items_sql, base)
     ctes["features"] = (
         f"select c.customer_id, {key32('c.customer_id')} as customer_sk, "
         + ", ".join(f"{one(f)} as {f}" for f in FLAGS)

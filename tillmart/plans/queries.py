@@ -19,7 +19,7 @@ from tillmart.operators.pseudonymise import pseudonymise
 from tillmart.operators.versions import dedup_by_columns, latest_by_key
 from tillmart.plans import jobs, oracle, sample
 from tillmart.session import fresh_dir
-from tillmart.sources import sinks
+from tillmart.sources import documents, sinks
 from tillmart.streaming import ingest, windows
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -154,15 +154,6 @@ def _(spark, d):
     return features.flag_totals(_features(spark, d))
 
 
-@register("customer_features_from_raw", None)
-def _(spark, d):
-    """Raw documents through mart building and W1 into the feature job."""
-    raw = {t: sample.raw_table(spark, d, t) for t in ENTITIES}
-    built = mart.build_mart(raw, AS_OF)
-    tables = jobs.feature_inputs(lambda name: built[name], dedupe=False)
-    return portable(features.customer_features(tables, AS_OF, grain="purchase"))
-
-
 # --- mart targets ---------------------------------------------------------------
 
 
@@ -247,6 +238,43 @@ def _(spark, d):
     return portable(star.star_items({n: _target(spark, d, n) for n in names}).drop("fact_sk"))
 
 
+_BUILT = {
+    **_mart_ctes("fact_purchases", "fact_purchase_items", "dim_customer", "dim_product",
+                 "dim_store", "dim_date"),
+    "purchases": (
+        "select purchase_id, customer_id, store_id, payment_method, is_delivery, items_count, "
+        "cast(total_amount as decimal(12,2)) as total_amount, purchase_date_sk, "
+        "cast(raw_event_time as timestamp) as raw_event_time from fact_purchases"
+    ),
+    "items": "select purchase_id, product_id from fact_purchase_items",
+    "products": "select product_id, product_group, is_organic from dim_product",
+    "customers": (
+        "select customer_id, cast(cast(registration_date as timestamp) as date) as registration_date, "
+        "is_loyalty_member from dim_customer"
+    ),
+    "stores": "select store_id, store_location_sk from dim_store",
+    "dates": "select date_sk as purchase_date_sk, is_weekend from dim_date",
+}
+
+
+def _register_from_raw() -> None:
+    for grain in ("item", "purchase"):
+        def run(spark, d, g=grain):
+            """Raw documents, cleaned, keyed, deduplicated and turned into features."""
+            raw = {t: sample.raw_table(spark, d, t) for t in ENTITIES}
+            built = mart.build_mart(raw, AS_OF)
+            tables = jobs.feature_inputs(lambda name: built[name], dedupe=False)
+            rows = features.customer_features(tables, AS_OF, grain=g)
+            return portable(rows.drop("customer_sk"))
+
+        register(f"features_from_raw_{grain}_grain", oracle.with_(
+            oracle.features_ctes(grain, features.DEFAULTS, base=_BUILT),
+            "select * exclude (customer_sk, exact_spent) from features"))(run)
+
+
+_register_from_raw()
+
+
 # --- cleaning ---------------------------------------------------------------------
 
 
@@ -461,6 +489,22 @@ def _(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+@register("document_load", oracle.with_(oracle.raw_ctes("raw_stores"), """
+    select store_id, store_name, manager_name, location_city,
+      location_coordinates_latitude as latitude, opening_hours_sun, accepts_online_orders from raw_stores"""))
+def _(spark, d):
+    """One JSON file per store document, loaded twice over into a collection."""
+    root = fresh_dir(spark, "documents")
+    sample.documents(spark, d, "stores").write.option("maxRecordsPerFile", 1).json(f"{root}/in/stores")
+    documents.load_documents(spark, f"{root}/in", f"{root}/out", False, ("stores",))
+    documents.load_documents(spark, f"{root}/in", f"{root}/out", True, ("stores",))
+    return documents.read_collection(spark, "parquet", path=f"{root}/out/stores").select(
+        "store_id", "store_name", F.col("manager.name").alias("manager_name"),
+        F.col("location.city").alias("location_city"), "location.coordinates.latitude",
+        F.col("opening_hours.sun").alias("opening_hours_sun"), "accepts_online_orders",
+    )
+
+
 _ITEM_NAMES = list(sample.flat_item_exprs())
 
 
@@ -977,6 +1021,24 @@ def _(spark, d):
     return _roundtrip(spark, d, "json")
 
 
+@register("sink_table_replace", oracle.with_(
+    oracle.features_ctes("item", features.DEFAULTS),
+    "select customer_id, customer_sk, total_purchases, total_spent, store_loyal from features"))
+def _(spark, d):
+    """Truncate and refill of an existing table; the second run replaces the first."""
+    path = fresh_dir(spark, "mart")
+    name = "features_" + path[-12:]
+    spark.sql(
+        f"create table {name} (customer_id string, customer_sk bigint, total_purchases bigint, "
+        f"total_spent decimal(14,2), store_loyal int) using parquet location '{path}'"
+    )
+    rows = _features(spark, d)
+    for part in (rows.where("no_purchases = 1"), rows):
+        sinks.write_results(part, AS_OF, ("table",), table=name)
+    spark.sql(f"drop table {name}")
+    return portable(spark.read.parquet(path))
+
+
 @register("raw_months", oracle.with_(oracle.raw_ctes("raw_purchases"), """
     select cast(year(event_time) * 100 + month(event_time) as int) as event_month, count(*) as records
     from raw_purchases where event_time >= timestamp '2001-03-01 00:00:00' group by 1"""))

@@ -20,6 +20,7 @@ from tillmart.operators.dimensions import calendar_for
 AS_OF = "2001-08-02"
 HMAC_KEY = "sample-key"
 
+# Product group texts as they arrive, per part type.
 GROUPS = {
     "ECONOMY": "🥖 Зерновые и хлебобулочные изделия",
     "SMALL": "🥩 Мясо, рыба, яйца и бобовые",
@@ -200,7 +201,7 @@ _PRODUCT = {
 _STORE = {
     "store_id": "concat('store-', cast(s_suppkey as string))",
     "store_name": "concat(upper(s_name), ' ')",
-    "store_network": "case s_suppkey % 3 when 0 then 'Большая' when 1 then 'Маленькая' else '' end",
+    "store_network": "case s_suppkey % 3 when 0 then 'Большая сеть' when 1 then 'Малая сеть' else '' end",
     "store_type_description": "case s_suppkey % 2 when 0 then 'Более 200 м²' else '' end",
     "type": "case s_suppkey % 5 when 0 then '' else 'Offline' end",
     "categories": "case s_suppkey % 4 when 0 then '🥖 Хлеб, 🥛 Молочные' when 1 then 'Овощи!' else 'Мясо, Рыба' end",
