@@ -82,9 +82,6 @@ MART = {
     }),
 }
 
-_DAY = "cast(date '1995-01-01' + cast({k} * 7 % 2400 as int) as timestamp)"
-
-
 def _iso(ts: str) -> str:
     return f"concat(replace(cast({ts} as string), ' ', 'T'), '.123456')"
 
@@ -145,8 +142,8 @@ _CUSTOMER = {
     "gender": "case c_custkey % 3 when 0 then 'Male' when 1 then ' FEMALE' else '' end",
     "registration_date": (
         "case when c_custkey % 47 = 0 then 'never' else "
-        + _iso(_DAY.format(k="c_custkey") + " + (c_custkey % 24) * interval '1' hour")
-        + " end"
+        "concat(cast(cast(date '1995-01-01' + cast(c_custkey * 7 % 2400 as int) as date) as string), "
+        "'T', lpad(cast(c_custkey % 24 as string), 2, '0'), ':00:00.123456') end"
     ),
     "is_loyalty_member": (
         "case c_custkey % 6 when 0 then 'True' when 1 then 'true' when 2 then '1' "
