@@ -8,8 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, hosts, lines, quality, simhash, toxicity
-from tillmart.llm.common import held_out, table, text_of
+from tillmart.llm import bpe, hosts, lines, mixing, quality, sharding, simhash, sketch, toxicity, vectors
+from tillmart.llm.common import WORD, held_out, stored, table, text_of
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -29,6 +29,31 @@ def _sha(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def words(text: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = stored(table(spark, sf_dir, "documents").select("doc_id", "source", words().alias("size")), "sizes")
+    mixed = mixing.mix(documents, F.col("size"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def text_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints_with_edits(table(spark, sf_dir, "documents"))
+
+
+def byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
     encoded = bpe.encode(documents, vocabulary_path()).select(
@@ -169,8 +194,12 @@ from p left join fit on p.host = fit.host and p.path = fit.path left join judged
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": Query(mixed_sources),
     "op2_bpe": Query(bpe_round_trip),
     "op3_quality": Query(quality_scores),
+    "op4_fingerprints": Query(text_fingerprints),
+    "op5_sharding": Query(byte_shards),
+    "op6_embedding_dedup": Query(embedding_links),
     "op7_simhash": Query(simhash_groups),
     "op8_line_dedup": Query(site_lines, SITE_LINES_SQL),
     "op9_toxicity": Query(toxicity_scores),
