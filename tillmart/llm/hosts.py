@@ -9,7 +9,7 @@ its posterior rate is above the limit, so a host with few labelled pages is not.
 
 All of it is DataFrame expressions. Counting reduces per task before the shuffle,
 so a host with a third of all pages is one counter per task; what the driver sees
-is one row of totals.
+are rows of totals.
 
 Defined cases: a missing url or one without ``://`` has an empty host and path, no
 rule, and the reputation of the empty host; a port or user name stays in the host as
@@ -72,26 +72,25 @@ def domain_of(host: Column) -> Column:
     return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(bare, ".", -3)).otherwise(two)
 
 
-def _spread(name: str) -> list[Column]:
-    """Sums over the units of a level, from which its prior strength follows."""
-    return [
-        F.count("*").cast("double").alias(f"{name}_units"),
-        F.coalesce(F.sum(F.col("bad") * F.col("bad") / F.col("pages")), F.lit(0.0)).alias(f"{name}_bad2"),
-        F.coalesce(F.sum(F.col("pages") * F.col("pages")).cast("double"), F.lit(0.0)).alias(f"{name}_pages2"),
-        F.coalesce(F.sum("pages"), F.lit(0)).cast("double").alias("pages"),
-        F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("bad"),
-    ]
+def _strength(level: DataFrame, parent: list[str]) -> float:
+    """Pseudo-pages of a level's prior, between 1 and 10,000, by the method of moments.
 
-
-def strength(units: float, bad2: float, pages2: float, pages: float, bad: float) -> float:
-    """Pseudo-pages of the prior by the method of moments, between 1 and 10,000."""
-    if pages < 2 or units < 2:
+    Compares the spread of the units' rates around their parent's rate with what chance alone gives.
+    """
+    pages, bad = F.col("pages").cast("double"), F.col("bad").cast("double")
+    within = level.groupBy(*parent).agg(
+        (F.count("*") - 1).alias("free"), F.sum(bad * bad / pages).alias("bad2"), F.sum(pages * pages).alias("pages2"),
+        F.sum(pages).alias("n"), F.sum(bad).alias("k"),
+    )
+    rate = (F.col("k") + 1) / (F.col("n") + 2)
+    within = within.withColumn("chance", rate * (1 - rate))
+    row = within.agg(
+        F.sum(F.col("bad2") - F.col("k") * F.col("k") / F.col("n") - F.col("free") * F.col("chance")).alias("over"),
+        F.sum(F.col("chance") * (F.col("n") - F.col("pages2") / F.col("n") - F.col("free"))).alias("room"),
+    ).first()
+    if not row.room or row.room <= 0 or row.over <= 0:
         return 10_000.0
-    rate = (bad + 1) / (pages + 2)
-    over = (bad2 - 2 * rate * bad + rate * rate * pages) / (rate * (1 - rate)) - (units - 1)
-    room = pages - pages2 / pages - (units - 1)
-    rho = over / room if room > 0 else 0.0
-    return min(max(1 / rho - 1, 1.0), 10_000.0) if rho > 0 else 10_000.0
+    return min(max(row.room / row.over - 1, 1.0), 10_000.0)
 
 
 def reputation(outcomes: DataFrame, z: float = 1.645, limit: float = 0.5) -> DataFrame:
@@ -104,11 +103,11 @@ def reputation(outcomes: DataFrame, z: float = 1.645, limit: float = 0.5) -> Dat
     )
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"))
-    fitted = {}
-    for name, level in (("host", hosts), ("domain", domains), ("suffix", suffixes)):
-        row = level.agg(*_spread(name)).first()
-        fitted[name] = strength(row[f"{name}_units"], row[f"{name}_bad2"], row[f"{name}_pages2"], row.pages, row.bad)
-        overall = (row.bad + 1) / (row.pages + 2)
+    totals = suffixes.agg(F.coalesce(F.sum("pages"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k")).first()
+    overall = (totals.k + 1) / (totals.n + 2)
+    fitted = {
+        "host": _strength(hosts, ["suffix", "domain"]), "domain": _strength(domains, ["suffix"]), "suffix": _strength(suffixes, []),
+    }
     post = lambda pages, bad, name, prior: (bad + fitted[name] * prior) / (pages + fitted[name])
     suffixes = suffixes.select("suffix", post(F.col("pages"), F.col("bad"), "suffix", F.lit(overall)).alias("suffix_rate"))
     domains = domains.join(suffixes, "suffix").select(

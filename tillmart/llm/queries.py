@@ -167,18 +167,17 @@ h as (
 d as (select suffix, domain, sum(n) as n, sum(k) as k from h group by suffix, domain),
 s as (select suffix, sum(n) as n, sum(k) as k from d group by suffix),
 levels as (
-  select 'h' as l, count(*) as u, sum(k * k / n) as k2, sum(n * n) as n2, sum(n) as n, sum(k) as k from h union all
-  select 'd', count(*), sum(k * k / n), sum(n * n), sum(n), sum(k) from d union all
-  select 's', count(*), sum(k * k / n), sum(n * n), sum(n), sum(k) from s),
+  select 'h' as l, count(*) - 1 as f, sum(k * k / n) as k2, sum(n * n) as n2, sum(n) as n, sum(k) as k from h group by suffix, domain union all
+  select 'd', count(*) - 1, sum(k * k / n), sum(n * n), sum(n), sum(k) from d group by suffix union all
+  select 's', count(*) - 1, sum(k * k / n), sum(n * n), sum(n), sum(k) from s),
 sums as (
-  select l, u, n, ((k2 - 2 * r * k + r * r * n) / (r * (1 - r)) - (u - 1)) as over, n - n2 / n - (u - 1) as room
-  from (select *, (k + 1) / (n + 2) as r from levels)),
+  select l, sum(k2 - k * k / n - f * v) as over, sum(v * (n - n2 / n - f)) as room
+  from (select *, (k + 1) / (n + 2) * (1 - (k + 1) / (n + 2)) as v from levels) group by l),
 w as (
-  select l, case when coalesce(n, 0) < 2 or u < 2 or room <= 0 or over / room <= 0 then 10000.0
-    else least(greatest(room / over - 1, 1.0), 10000.0) end as m
+  select l, case when coalesce(room, 0) <= 0 or over <= 0 then 10000.0 else least(greatest(room / over - 1, 1.0), 10000.0) end as m
   from sums),
 wide as (
-  select max(m) filter (l = 'h') as mh, max(m) filter (l = 'd') as md, max(m) filter (l = 's') as ms,
+  select coalesce(max(m) filter (l = 'h'), 10000) as mh, coalesce(max(m) filter (l = 'd'), 10000) as md, coalesce(max(m) filter (l = 's'), 10000) as ms,
     (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) from s) as p0
   from w),
 sr as (select suffix, (k + ms * p0) / (n + ms) as r from s, wide),

@@ -140,7 +140,7 @@ def _window(scores: np.ndarray, width: int) -> int:
 def train(texts: list[str], labels: np.ndarray, settings: Settings) -> tuple[np.ndarray, float]:
     """Each bucket's share of the score of label 1, and the bias."""
     share = (labels.sum() + 0.5) / (len(labels) + 1)
-    if labels.min(initial=1) == labels.max(initial=0):
+    if not len(labels) or labels.min() == labels.max():
         return np.zeros(settings.buckets, np.float32), float(np.log(share / (1 - share)))
     chance = np.random.default_rng(settings.seed)
     table = chance.normal(0, 0.05, (settings.buckets, settings.dim)).astype(np.float32)
@@ -262,7 +262,8 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings, text: str =
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     rows = sample(documents, labels, settings, text)
-    return pickle.loads(rows.repartition(1).mapInArrow(learned, "model binary").first().model)
+    found = rows.repartition(1).mapInArrow(learned, "model binary").first()
+    return pickle.loads(found.model) if found else train([], np.zeros(0, np.int64), settings)
 
 
 def score(documents: DataFrame, model: tuple[np.ndarray, float], settings: Settings, text: str = "text", column: str = "score") -> DataFrame:
