@@ -178,3 +178,30 @@ def test_document_folders(spark, tmp_path):
     assert counts(True) == {"products": 1, "stores": 0}
     assert spark.read.parquet(f"{out}/products").count() == 1
     assert documents.read_collection(spark, "parquet", path=f"{out}/products").count() == 1
+
+
+def test_contacts_in_maps_are_hashed_by_key(spark):
+    df = spark.createDataFrame(
+        [({"phone": "8 1", "Email": "A@b.c ", "x": "y", "n": None}, {"a": ("8 1", "z")}, [{"e_mail": "q", "email2": "E"}])],
+        "m map<string,string>, nested map<string,struct<phone string, z string>>, listed array<map<string,string>>")
+    row = pseudonymise(df, "k").first()
+
+    def h(v):
+        return hmac.new(b"k", v.encode(), hashlib.sha256).hexdigest()
+
+    assert row.m == {"phone": h("+71"), "Email": h("a@b.c"), "x": "y", "n": None}
+    assert row.nested["a"].phone == h("+71") and row.nested["a"].z == "z"
+    assert row.listed == [{"e_mail": "q", "email2": h("e")}]
+
+
+def test_pads_are_never_printed(spark):
+    name = "spark.sql.redaction.string.regex"
+    before = spark.conf.get(name)
+    try:
+        for pattern in ("", "secret"):
+            spark.conf.set(name, pattern)
+            df = pseudonymise(spark.createDataFrame([("8 1",)], "phone string"), "my key")
+            pad = bytes(b ^ 0x36 for b in b"my key".ljust(64, b"\0")).hex()
+            assert pad not in df._jdf.queryExecution().toString().lower()
+    finally:
+        spark.conf.set(name, before)

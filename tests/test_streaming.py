@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tillmart.operators import mart
 from tillmart.operators.envelope import to_raw
-from tillmart.plans import jobs, sample
+from tillmart.plans import jobs, sample, upkeep
+from tillmart.plans.queries import QUERIES
 from tillmart.session import fresh_dir, shared_dir
 from tillmart.sources import messages, sinks
 from tillmart.sources.tables import extract, jdbc_options
@@ -120,8 +121,7 @@ def test_hourly_counts_over_several_batches(spark, tmp_path):
             "cast(t as timestamp_ntz) as ts", "topic").coalesce(1).write.mode("append").parquet(folder)
     events = spark.readStream.schema("ts timestamp_ntz, topic string").option(
         "maxFilesPerTrigger", 1).parquet(folder)
-    windows.start_hourly_counts(events, str(tmp_path / "rows"), str(tmp_path / "state"), "topic", "ts",
-                                "10 days").awaitTermination()
+    windows.start_hourly_counts(events, str(tmp_path / "rows"), str(tmp_path / "state"), "topic", "ts").awaitTermination()
     got = {str(r.time): r.records for r in windows.read_hourly_counts(spark, str(tmp_path / "rows")).collect()}
     assert got["2026-01-01 01:00:00"] == 5 and got["2026-01-03 05:00:00"] == 1 and len(got) == 6
 
@@ -132,9 +132,8 @@ def test_repeats_are_dropped_across_batches(spark, tmp_path):
         spark.range(50).selectExpr("id", "timestamp_ntz '2026-01-01 00:00:00' + id * interval '1' minute as ts"
                                    ).coalesce(1).write.mode("append").parquet(folder)
     events = spark.readStream.schema("id bigint, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(folder)
-    unique = windows.without_repeats(events, "id", "ts", "1 day")
-    ingest.upsert_stream(unique, str(tmp_path / "rows"), str(tmp_path / "state")).awaitTermination()
-    stored = sinks.read_batches(spark, str(tmp_path / "rows"), unique.schema)
+    windows.start_unique(events, str(tmp_path / "rows"), str(tmp_path / "state"), "id", "ts").awaitTermination()
+    stored = sinks.read_batches(spark, str(tmp_path / "rows"), events.schema)
     assert stored.count() == 50 == stored.select("id").distinct().count()
 
 
@@ -194,3 +193,85 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == configured
     assert fresh_dir(spark, "a") != fresh_dir(spark, "a")
     assert fresh_dir(spark, "a").startswith(configured)
+
+
+STREAMED = [n for n in QUERIES if n.startswith("stream_")]
+
+
+@pytest.fixture(scope="module")
+def many_files(spark, sample_dir, tmp_path_factory):
+    """The sample tables, those that are streamed as eight shuffled files each."""
+    folder = tmp_path_factory.mktemp("tables")
+    for name in ("region", "nation", "lineitem"):
+        (folder / f"{name}.parquet").symlink_to(f"{sample_dir}/{name}.parquet")
+    for name in ("events", "orders", "part", "customer", "supplier"):
+        table = spark.read.parquet(f"{sample_dir}/{name}.parquet")
+        table.orderBy(F.xxhash64(*table.columns[:2])).repartition(8).write.parquet(str(folder / f"{name}.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", STREAMED)
+def test_streams_do_not_depend_on_the_file_layout(spark, sample_dir, many_files, name):
+    one, many = (sorted(map(str, QUERIES[name].run(spark, d).collect())) for d in (sample_dir, many_files))
+    assert one and one == many
+
+
+def test_newest_version_of_a_batch_survives(spark, tmp_path):
+    rows = [(k, v, f"v{v}") for k in range(50) for v in (2, 1, 3)]
+    spark.createDataFrame(rows, "k int, v int, x string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k int, v int, x string").parquet(str(tmp_path / "in"))
+    ingest.upsert_stream(stream, str(tmp_path / "out"), str(tmp_path / "state"), ["k"], "v").awaitTermination()
+    stored = ingest.newest(spark, str(tmp_path / "out"), stream.schema, "k", "v")
+    assert {r.x for r in stored.collect()} == {"v3"} and stored.count() == 50
+    with pytest.raises(ValueError):
+        ingest.upsert_stream(stream, str(tmp_path / "o"), str(tmp_path / "s"), ["k"])
+
+
+def test_later_batch_wins_ties_in_the_mart_and_constants_are_refused(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "root")
+    for name in ("zoe", "anna"):
+        doc = json.dumps({"customer_id": "c1", "first_name": name})
+        messages.publish_files(spark.createDataFrame([("customers", doc, "2001-01-01T00:00:00+03:00")], messages.ENVELOPE).coalesce(1), log)
+        jobs.ingest(messages.file_stream(spark, log, 1), root, AS_OF, ("customers",))
+    layout = ingest.Layout(root)
+    assert [r.first_name for r in ingest.read_mart(spark, layout, "dim_customer", AS_OF).collect()] == ["anna"]
+    with pytest.raises(ValueError):
+        jobs.ingest(messages.file_stream(spark, log), str(tmp_path / "run"), AS_OF, once=False)
+    assert upkeep.compact_versions(spark, root, "dim_customer", AS_OF) == 2
+    assert [r.first_name for r in ingest.read_versions(spark, layout, "dim_customer", AS_OF).collect()] == ["anna"]
+
+
+def test_retention_can_be_repeated_after_a_failure(spark, tmp_path, monkeypatch):
+    log, root = str(tmp_path / "log"), str(tmp_path / "root")
+    for day in range(1, 28):
+        rows = [("customers", json.dumps({"customer_id": f"c{day}"}), f"2001-0{m}-{day:02d}T00:00:00+03:00") for m in (5, 6, 7)]
+        rows.append(("customers", "{", f"2001-0{1 + day % 7}-{day:02d}T00:00:00+03:00"))
+        messages.publish_files(spark.createDataFrame(rows, messages.ENVELOPE).coalesce(1), log)
+    jobs.ingest(messages.file_stream(spark, log, 9), root, AS_OF, ("customers",), with_mart=False)
+    layout = ingest.Layout(root)
+    dead = [r.event_time for r in ingest.read_dead_letters(spark, layout).collect()]
+    delete, calls = upkeep.delete, []
+
+    def failing(session, path):
+        calls.append(path)
+        if len(calls) == 3:
+            raise OSError("lost")
+        delete(session, path)
+
+    monkeypatch.setattr(upkeep, "delete", failing)
+    with pytest.raises(OSError):
+        upkeep.apply_retention(spark, root, AS_OF, 45, ("customers",))
+    upkeep.apply_retention(spark, root, AS_OF, 45, ("customers",))
+    kept = sorted(r.event_time for r in ingest.read_raw(spark, layout, "customers").collect())
+    assert kept[0] == datetime(2001, 6, 18) and len(kept) == 10 + 27
+    assert sorted(r.event_time for r in ingest.read_dead_letters(spark, layout).collect()) == sorted(t for t in dead if t >= "2001-06-18")
+
+
+def test_table_sizes_are_those_of_the_files(spark, sample_dir):
+    from pathlib import Path
+
+    from tillmart.operators.monitoring import table_sizes
+
+    sizes = table_sizes({n: spark.read.parquet(f"{sample_dir}/{n}.parquet") for n in ("events", "part")}).collect()
+    for row in sizes:
+        assert row.size_mb == Path(f"{sample_dir}/{row.table}.parquet").stat().st_size / 2**20

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 _DAY = r"^\d{4}-\d{2}-\d{2}"
 _MOMENT = _DAY + r"([T ]\d{2}:\d{2}:\d{2}.*)?$"
+_DAY_TEXT = _DAY + r"([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 _OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
@@ -20,9 +21,9 @@ def moment(value: str | date | datetime | Column) -> Column:
 
 
 def parse_day(value: Column) -> Column:
-    """Date from text that starts with ``yyyy-MM-dd``."""
+    """Date from ``yyyy-MM-dd``, alone or with a time of day; nothing else may follow."""
     text = F.trim(value)
-    return F.when(text.rlike(_DAY), F.substring(text, 1, 10).try_cast("date"))
+    return F.when(text.rlike(_DAY_TEXT), F.substring(text, 1, 10).try_cast("date"))
 
 
 def parse_moment(value: Column) -> Column:

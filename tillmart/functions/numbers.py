@@ -42,14 +42,19 @@ def fixed_decimal(value: Column, precision: int, scale: int, rounding: bool = Fa
     return F.when(text.rlike(_NOT_NEGATIVE), kept.try_cast(f"decimal({precision},{scale})"))
 
 
-def amount_or_zero(value: Column, precision: int = 12, scale: int = 2) -> Column:
+def amount_or_zero(value: Column, precision: int = 18, scale: int = 2) -> Column:
+    """Non-negative amount, zero if missing or no amount; NULL if it does not fit."""
     parsed = fixed_decimal(value, precision, scale)
-    return F.coalesce(parsed, F.lit(0).cast(f"decimal({precision},{scale})"))
+    zero = F.lit(0).cast(f"decimal({precision},{scale})")
+    return F.when(F.trim(value).rlike(_NOT_NEGATIVE), parsed).otherwise(zero)
 
 
-def quantity_or_one(value: Column) -> Column:
-    parsed = fixed_decimal(value, 10, 3)
-    return F.when(parsed > 0, parsed).otherwise(F.lit(1).cast("decimal(10,3)"))
+def quantity_or_one(value: Column, precision: int = 18, scale: int = 3) -> Column:
+    """Positive quantity, one if missing, zero or no quantity; NULL if it does not fit."""
+    kind = f"decimal({precision},{scale})"
+    parsed = fixed_decimal(value, precision, scale)
+    fits = F.when(parsed.isNull() | (parsed > 0), parsed).otherwise(F.lit(1).cast(kind))
+    return F.when(F.trim(value).rlike(_NOT_NEGATIVE), fits).otherwise(F.lit(1).cast(kind))
 
 
 def small_positive_int(value: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillmart.functions.calendar import calendar_columns
 from tillmart.functions.keys import key64, key_or_null
-from tillmart.functions.moments import day_until, moment, parse_day, seconds_moment
+from tillmart.functions.moments import day_until, moment, moment_or, parse_day, seconds_moment
 from tillmart.functions.numbers import (
     bounded_double,
     fixed_decimal,
@@ -182,17 +182,24 @@ def dim_store(stores: DataFrame, as_of, stamp=None, hasher=key64) -> DataFrame:
     return stores.select(*_named(columns), *_audit(as_of, stamp))
 
 
-def dim_date(purchases: DataFrame, as_of, stamp=None, holidays: DataFrame | None = None) -> DataFrame:
-    """Calendar rows of the purchase dates not after ``as_of``.
+def dim_date(purchases: DataFrame, as_of, stamp=None, holidays: DataFrame | None = None,
+             every_header: bool = True) -> DataFrame:
+    """Calendar rows of the days that purchase headers fall on.
 
-    The distinct dates are combined map-side, so a hot day costs one row per
-    task. ``holidays`` (a ``full_date`` column) sets ``is_holiday``.
+    A header whose purchase time is missing, broken or in the future falls on the
+    day of ``as_of``. ``every_header=False`` leaves that day out unless a purchase
+    names it. The distinct dates are combined map-side, so a hot day costs one row
+    per task. ``holidays`` (a ``full_date`` column) sets ``is_holiday``.
     """
-    days = (
-        purchases.select(parse_day(F.col("purchase_datetime")).alias("day"))
-        .where(F.col("day").isNotNull() & (F.col("day") <= F.to_date(moment(as_of))))
-        .distinct()
-    )
+    text = F.col("purchase_datetime")
+    if every_header:
+        days = purchases.select(F.to_date(moment_or(text, as_of)).alias("day")).distinct()
+    else:
+        days = (
+            purchases.select(parse_day(text).alias("day"))
+            .where(F.col("day").isNotNull() & (F.col("day") <= F.to_date(moment(as_of))))
+            .distinct()
+        )
     return calendar_for(days, "day", as_of, stamp, holidays)
 
 

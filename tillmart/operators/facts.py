@@ -9,7 +9,6 @@ from tillmart.functions.keys import key64
 from tillmart.functions.moments import date_key, moment, moment_or
 from tillmart.functions.numbers import (
     amount_or_zero,
-    fixed_decimal,
     non_negative_double,
     quantity_or_one,
 )
@@ -21,7 +20,7 @@ def fact_purchases(purchases: DataFrame, as_of, stamp=None, hasher=key64) -> Dat
     """One header per purchase document.
 
     A missing, broken or future purchase time becomes ``as_of``. The date key is
-    taken from the same value, so header and calendar always agree.
+    taken from the same value, and so are the days of ``dim_date``.
     """
     customer_id = tidy(F.col("customer_customer_id"))
     store_id = tidy(F.col("store_store_id"))
@@ -66,9 +65,7 @@ def fact_purchase_items(purchases: DataFrame, as_of, stamp=None, hasher=key64) -
     purchase_id = tidy(F.col("purchase_id"))
     product_id = tidy(F.col("item.product_id"))
     processed = moment(as_of) if stamp is None else F.col("_stamp").cast("timestamp_ntz")
-    price = F.coalesce(
-        fixed_decimal(F.col("item.price_per_unit"), 10, 2), F.lit(0).cast("decimal(10,2)")
-    )
+    price = amount_or_zero(F.col("item.price_per_unit"))
     nutrition = [
         non_negative_double(F.col(f"item.kbju_{n}")).alias(f"item_{n}")
         for n in ("calories", "protein", "fat", "carbohydrates")

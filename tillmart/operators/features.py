@@ -260,7 +260,7 @@ def customer_metrics(
     )
     by_line = _line_branch(dated if weighted else plain, lines, settings, weighted)
     joined = by_header.join(by_line, "customer_id")
-    cart = (F.col("total_spent") / F.nullif("amount_rows", F.lit(0))).cast("decimal(16,6)")
+    cart = (F.col("total_spent") / F.nullif("amount_rows", F.lit(0))).cast("decimal(24,6)")
     items = F.try_divide(F.col("items_total").cast("double"), F.col("items_rows"))
     derived = {"avg_cart_amount": cart, "avg_items_count": items}
     return joined.select(
@@ -315,15 +315,38 @@ def _flags(s: FeatureSettings, as_of) -> dict[str, Column]:
     }
 
 
-FLAGS = tuple(
-    # Flag names in output order.
-    """bought_milk_last_30d bought_fruits_last_14d not_bought_veggies_14d
-    recurrent_buyer inactive_14_30 new_customer delivery_user organic_preference
-    bulk_buyer low_cost_buyer buys_bakery loyal_customer multicity_buyer
-    bought_meat_last_week night_shopper morning_shopper prefers_cash prefers_card
-    weekend_shopper weekday_shopper single_item_buyer varied_shopper store_loyal
-    switching_store family_shopper early_bird no_purchases recent_high_spender
-    fruit_lover vegetarian_profile""".split()
+# Flag names in output order.
+FLAGS = (
+    "bought_milk_last_30d",
+    "bought_fruits_last_14d",
+    "not_bought_veggies_14d",
+    "recurrent_buyer",
+    "inactive_14_30",
+    "new_customer",
+    "delivery_user",
+    "organic_preference",
+    "bulk_buyer",
+    "low_cost_buyer",
+    "buys_bakery",
+    "loyal_customer",
+    "multicity_buyer",
+    "bought_meat_last_week",
+    "night_shopper",
+    "morning_shopper",
+    "prefers_cash",
+    "prefers_card",
+    "weekend_shopper",
+    "weekday_shopper",
+    "single_item_buyer",
+    "varied_shopper",
+    "store_loyal",
+    "switching_store",
+    "family_shopper",
+    "early_bird",
+    "no_purchases",
+    "recent_high_spender",
+    "fruit_lover",
+    "vegetarian_profile",
 )
 TOTALS = ("total_purchases", "total_spent", "avg_cart_amount")
 
@@ -385,7 +408,7 @@ def top_customers(features: DataFrame, limit: int = 100) -> DataFrame:
 def feature_kpis(features: DataFrame) -> DataFrame:
     """Number cards over the feature table, one row."""
     return features.agg(
-        F.count_distinct("customer_id").alias("customers"),
+        F.count("customer_id").alias("customers"),
         F.round(F.avg("total_purchases"), 2).alias("avg_purchases"),
         F.round(F.avg("total_spent"), 2).alias("avg_spent"),
         F.round(F.avg("avg_cart_amount"), 2).alias("avg_cart"),

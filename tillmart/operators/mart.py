@@ -62,10 +62,14 @@ def build_target(name: str, raw: DataFrame, as_of, by_event_time: bool = False,
     return target.build(raw, as_of, stamp=stamp, hasher=hasher)
 
 
-def current(name: str, versions: DataFrame) -> DataFrame:
-    """One row per key of a target."""
+def current(name: str, versions: DataFrame, inserted: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key of a target.
+
+    ``inserted`` names columns that tell which of two rows of equal version came
+    last, and so wins.
+    """
     target = TARGETS[name]
-    return latest_by_key(versions, target.key, target.version)
+    return latest_by_key(versions, target.key, [target.version, *inserted])
 
 
 def build_mart(raw: dict[str, DataFrame], as_of, hasher=key64) -> dict[str, DataFrame]:

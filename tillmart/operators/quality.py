@@ -102,28 +102,50 @@ def duplicate_alerts(stats: DataFrame, limit: float = ALERT_LIMIT) -> DataFrame:
 
 def orphans(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None) -> DataFrame:
     """Fact rows whose non-NULL key has no dimension row."""
-    known = dim.select(F.col(dim_key or fact_key).alias(fact_key)).distinct()
+    known = dim.select(F.col(dim_key or fact_key).alias(fact_key))
     return facts.where(F.col(fact_key).isNotNull()).join(known, fact_key, "left_anti")
 
 
+def _stacked(frame: DataFrame, entries: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per (label, key column) and row of the frame, NULL keys left out."""
+    pairs = [
+        F.struct(F.lit(label).alias("label"), F.col(key).cast("bigint").alias("key"))
+        for label, key in entries
+    ]
+    return frame.select(F.inline(F.array(*pairs))).where(F.col("key").isNotNull())
+
+
 def orphan_report(
     checks: Sequence[tuple[str, DataFrame, DataFrame, str, str]],
 ) -> DataFrame:
     """Orphan rows and keys per ``(name, facts, dim, fact_key, dim_key)``.
 
-    Fact keys are counted before the anti join, so a hot key is one row there.
+    Each fact and each dimension is read once, with all its keys stacked. Keys are
+    counted map-side before the one anti join, so a hot key is one row there.
     """
-    parts = []
-    for name, facts, dim, fact_key, dim_key in checks:
-        counted = key_counts(facts.where(F.col(fact_key).isNotNull()), fact_key)
-        missing = orphans(counted, dim, fact_key, dim_key)
-        parts.append(
-            missing.agg(
-                F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows"),
-                F.count(F.lit(1)).alias("orphan_keys"),
-            ).select(F.lit(name).alias("check"), "orphan_rows", "orphan_keys")
-        )
-    return _union(parts)
+    facts, dims, dim_of = {}, {}, {}
+    for name, fact, dim, fact_key, dim_key in checks:
+        facts.setdefault(id(fact), (fact, []))[1].append((name, fact_key))
+        place = dims.setdefault((id(dim), dim_key), (dim, len(dims)))[1]
+        dim_of[name] = f"{dim_key} {place}"
+    used = _union([_stacked(frame, entries) for frame, entries in facts.values()])
+    counted = used.groupBy(F.col("label").alias("check"), "key").agg(F.count(F.lit(1)).alias("_n"))
+    target = F.create_map(*[F.lit(x) for pair in dim_of.items() for x in pair])
+    by_dim: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
+    for (frame_id, dim_key), (dim, place) in dims.items():
+        by_dim.setdefault(frame_id, (dim, []))[1].append((f"{dim_key} {place}", dim_key))
+    known = _union([_stacked(frame, entries) for frame, entries in by_dim.values()])
+    missing = counted.withColumn("label", target[F.col("check")]).join(
+        known, ["label", "key"], "left_anti"
+    )
+    none = F.array(*[F.lit(name) for name in dim_of])
+    spark = checks[0][1].sparkSession
+    zero = spark.range(1).select(F.explode(none).alias("check"), F.lit(0).cast("bigint").alias("_n"))
+    return (
+        missing.select("check", "_n").unionByName(zero)
+        .groupBy("check")
+        .agg(F.sum("_n").alias("orphan_rows"), F.count_if(F.col("_n") > 0).alias("orphan_keys"))
+    )
 
 
 def key_collisions(df: DataFrame, surrogate: str, natural: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from tillmart.operators.envelope import wrap
 from tillmart.operators.features import DEFAULTS, ITEM, FeatureSettings, customer_features
 from tillmart.operators.mart import FEATURES_KEY, FEATURES_VERSION, TARGETS
 from tillmart.operators.pseudonymise import pseudonymise
-from tillmart.operators.quality import analyze_table
+from tillmart.operators.quality import analyze_table, duplicate_report
 from tillmart.operators.versions import dedup_by_columns, latest_by_key
 from tillmart.sources.messages import publish_files
 from tillmart.sources.sinks import FORMATS, write_partitioned, write_results
@@ -52,6 +52,32 @@ def publish(
     return envelopes
 
 
+def publish_all(
+    read: Callable[[str], DataFrame],
+    hmac_key: str,
+    published_at,
+    sink: Callable[[DataFrame], None] | str,
+    topics: Sequence[str] = tuple(ENTITIES),
+) -> DataFrame:
+    """Publishes the chosen topics from a ``topic -> DataFrame`` reader, all in one write."""
+    parts = [
+        wrap(pseudonymise(read(topic), hmac_key, topic), moment(published_at), topic)
+        for topic in topics
+    ]
+    envelopes = reduce(DataFrame.unionByName, parts)
+    if callable(sink):
+        sink(envelopes)
+    else:
+        publish_files(envelopes, sink)
+    return envelopes
+
+
+def mart_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
+    """Duplicate figures of mart tables by their own keys, the feature table included."""
+    rules = table_rules()
+    return duplicate_report({name: (df, rules[name][0]) for name, df in tables.items()})
+
+
 def ingest(
     envelopes: DataFrame,
     root: str,
@@ -105,10 +131,12 @@ def run_features(
     folder: str | None = None,
     table: str | None = None,
     dedupe: bool = True,
+    jdbc: dict[str, str] | None = None,
+    export_root: str | None = None,
 ) -> dict[str, str]:
     """Extract, transform and write the feature table; sink locations."""
     features = customer_features(feature_inputs(read, dedupe), as_of, grain, settings)
-    return write_results(features, as_of, formats, folder, table)
+    return write_results(features, as_of, formats, folder, table, jdbc, export_root)
 
 
 def analyze(

@@ -47,6 +47,7 @@ def text(x: str, default: str = "unknown", lower: bool = True, drop: str | None
     return f"case when coalesce({x}, '') = '' then '{default}' else {inner} end"
 
 
+# Characters that stay in product groups and in lists.
 GROUP_DROP = r"[^а-яА-ЯёЁa-zA-Z0-9\s-]"
 LIST_DROP = r"[^а-яА-ЯёЁa-zA-Z0-9\s,.-]"
 
@@ -63,9 +64,27 @@ def number(x: str, low: str, high: str = "1e308") -> str:
     )
 
 
-def money(x: str, scale: int = 2) -> str:
-    v = f"try_cast(trim({x}, ' ') as decimal(24,6))"
-    return f"case when {v} >= 0 then cast(floor({v} * {10 ** scale}) as double) / {10 ** scale} end"
+def _decimal(x: str) -> str:
+    return f"try_cast(trim({x}, ' ') as decimal(30,6))"
+
+
+def money(x: str, scale: int = 2, precision: int = 12) -> str:
+    """Non-negative decimal that fits, surplus digits cut."""
+    v = _decimal(x)
+    return (
+        f"case when {v} >= 0 and {v} < {10 ** (precision - scale)} "
+        f"then cast(floor({v} * {10 ** scale}) as double) / {10 ** scale} end"
+    )
+
+
+def amount(x: str) -> str:
+    v = _decimal(x)
+    return f"case when coalesce({v}, -1) < 0 then 0.0 else {money(x, 2, 18)} end"
+
+
+def quantity(x: str) -> str:
+    v = _decimal(x)
+    return f"case when coalesce({v}, -1) < 0.001 then 1.0 else {money(x, 3, 18)} end"
 
 
 def whole(x: str) -> str:
@@ -78,7 +97,10 @@ def whole(x: str) -> str:
 
 def day(x: str) -> str:
     return (
-        f"case when regexp_matches(trim({x}, ' '), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
+        f"case when length(trim({x}, ' ')) = 10 and regexp_matches({x}, '-[0-9]{{2}}-') "
+        f"then try_cast(trim({x}, ' ') as date) "
+        f"when regexp_matches(trim({x}, ' '), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[ T][0-9]') "
+        f"and try_cast(trim({x}, ' ') as timestamp) is not null "
         f"then try_cast(substr(trim({x}, ' '), 1, 10) as date) end"
     )
 
@@ -109,14 +131,16 @@ def date_key(ts: str) -> str:
 def raw_cte(topic: str) -> str:
     relation, key, exprs = sample.DOCUMENTS[topic]
     flat = {p.replace(".", "_"): sql for p, sql in exprs.items() if p != "items"}
+    if relation == sample.BASKETS_FROM:
+        relation = sample.ORDERS_FROM
     return f"select {sample.event_time(key)} as event_time, {columns(flat)} from {relation}"
 
 
 RAW_ITEMS = (
-    "select o_orderkey, i, "
+    "select o_orderkey, l_linenumber, "
     + columns(sample.flat_item_exprs())
     + f", {sample._PURCHASE['purchase_id']} as purchase_id, {sample.event_time('o_orderkey')} as event_time"
-    + f" from (select o_orderkey, unnest(range(1, 1 + {sample.ITEM_RANGE})) as i from orders)"
+    + " from orders join lineitem on o_orderkey = l_orderkey"
 )
 RAW = {
     **{f"raw_{t}": raw_cte(t) for t in ENTITIES},
@@ -400,7 +424,7 @@ def dim_exprs() -> dict[str, tuple[str, str, str, dict[str, str]]]:
             "product_group": text('"group"', drop=GROUP_DROP),
             "product_description": text("description", ""),
             **{n: number(f"kbju_{n}", "0") for n in ("calories", "protein", "fat", "carbohydrates")},
-            "price": money("price"),
+            "price": money("price", 2, 10),
             "unit": text("unit"),
             "origin_country": text("origin_country"),
             "expiry_days": whole("expiry_days"),
@@ -457,7 +481,7 @@ def dim_exprs() -> dict[str, tuple[str, str, str, dict[str, str]]]:
             "purchase_date_sk": date_key(moment_or("purchase_datetime")),
             "delivery_address_sk": _fk("delivery_address_country", *delivery_parts),
             "payment_method": text("payment_method"),
-            "total_amount": f"coalesce({money('total_amount')}, 0.0)",
+            "total_amount": amount("total_amount"),
             "is_delivery": flag("is_delivery"),
             "items_count": "items_count",
             "raw_event_time": clock(moment_or("purchase_datetime")),
@@ -467,12 +491,10 @@ def dim_exprs() -> dict[str, tuple[str, str, str, dict[str, str]]]:
             "product_id": text("product_id"),
             "product_sk": key32(text("product_id")),
             "manufacturer_sk": _fk("manufacturer_inn", text("manufacturer_inn")),
-            "quantity": (
-                f"case when {money('quantity', 3)} > 0 then {money('quantity', 3)} else 1.0 end"
-            ),
+            "quantity": quantity("quantity"),
             "unit": text("unit"),
-            "price_per_unit": f"coalesce({money('price_per_unit')}, 0.0)",
-            "total_item_price": f"coalesce({money('total_price')}, 0.0)",
+            "price_per_unit": amount("price_per_unit"),
+            "total_item_price": amount("total_price"),
             **{f"item_{n}": number(f"kbju_{n}", "0")
                for n in ("calories", "protein", "fat", "carbohydrates")},
             "product_category": text("category", drop=GROUP_DROP),
@@ -484,7 +506,7 @@ _VERSIONS = {"fact_purchases": "processed_at", "fact_purchase_items": "processed
 PURCHASES_WITH_COUNT = {
     "raw_items": RAW["raw_items"],
     "raw_headers": RAW["raw_purchases"].replace(
-        "select ", f"select cast({sample.ITEM_RANGE} as int) as items_count, ", 1),
+        "select ", "select cast(coalesce(n_lines, 0) as int) as items_count, ", 1),
 }
 
 
@@ -530,6 +552,7 @@ def _week(d: str) -> str:
 
 def calendar_sql(days: str) -> str:
     """Calendar of a relation ``days(d)`` given as SQL."""
+    # Russian month and day names.
     months = "['Январь','Февраль','Март','Апрель','Май','Июнь','Июль','Август','Сентябрь','Октябрь','Ноябрь','Декабрь']"
     names = "['Понедельник','Вторник','Среда','Четверг','Пятница','Суббота','Воскресенье']"
     start = "cast(date_trunc('month', d) as date)"

@@ -17,9 +17,9 @@ from tillmart.functions.text import GROUP_DROP, LIST_DROP, full_name, tidy, trut
 from tillmart.operators import envelope, features, mart, monitoring, quality, star
 from tillmart.operators.pseudonymise import pseudonymise
 from tillmart.operators.versions import dedup_by_columns, latest_by_key
-from tillmart.plans import jobs, oracle, sample
+from tillmart.plans import jobs, oracle, sample, upkeep
 from tillmart.session import fresh_dir
-from tillmart.sources import documents, sinks
+from tillmart.sources import documents, messages, sinks
 from tillmart.streaming import ingest, windows
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -174,8 +174,7 @@ def _register_targets() -> None:
 _register_targets()
 
 _PURCHASE_DAYS = (
-    f"select distinct {oracle.day('purchase_datetime')} as d from raw_purchases "
-    f"where {oracle.day('purchase_datetime')} <= {oracle.DAY}"
+    f"select distinct cast({oracle.moment_or('purchase_datetime')} as date) as d from raw_purchases"
 )
 
 
@@ -191,10 +190,12 @@ def _(spark, d):
 def _(spark, d):
     raw = sample.raw_table(spark, d, "purchases")
     lines = mart.build_target("fact_purchase_items", raw, AS_OF)
-    return lines.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_distinct("purchase_id", "product_id").alias("keys"),
-        F.count_distinct("fact_sk").alias("surrogate_keys"),
+    per_pair = lines.groupBy("fact_sk", "purchase_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    per_key = per_pair.groupBy("fact_sk").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("lines"),
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("keys"),
+        F.count(F.lit(1)).alias("surrogate_keys"),
     )
 
 
@@ -304,10 +305,11 @@ def _(spark, d):
 
 _LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 _NUMBER_TEXT = (
+    "case when l_partkey % 41 = 0 then '12345678901.50' when l_partkey % 43 = 0 then ' 99999999999999999.5' else "
     "case l_linenumber when 1 then concat(' ', cast(cast(l_extendedprice as decimal(12,2)) as string)) "
     "when 2 then concat('-', cast(cast(l_quantity as int) as string)) when 3 then 'abc' "
     "when 4 then 'nan' when 5 then '' when 6 then concat(cast(cast(l_quantity as int) as string), 'e2') "
-    "else concat(cast(l_partkey as string), '.1289') end"
+    "else concat(cast(l_partkey as string), '.1289') end end"
 )
 _INT_TEXT = (
     "case l_linenumber when 1 then '0' when 2 then '70000' when 3 then ' 12 ' when 4 then '1.5' "
@@ -318,8 +320,7 @@ _INT_TEXT = (
 @register("clean_numeric_matrix", f"""
     select {', '.join(c for c in _LINE_KEY if c != 'l_shipdate')}, {oracle.clock('l_shipdate')} as l_shipdate,
       {oracle.number('x', '0')} as non_negative, {oracle.number('x', '-180', '180')} as bounded,
-      {oracle.money('x')} as price, coalesce({oracle.money('x')}, 0.0) as amount,
-      case when {oracle.money('x', 3)} > 0 then {oracle.money('x', 3)} else 1.0 end as quantity,
+      {oracle.money('x')} as price, {oracle.amount('x')} as amount, {oracle.quantity('x')} as quantity,
       {oracle.whole('y')} as small_int
     from (select *, {_NUMBER_TEXT} as x, {_INT_TEXT} as y from lineitem)""")
 def _(spark, d):
@@ -341,7 +342,7 @@ def _(spark, d):
 _DATE_TEXT = (
     "case o_orderkey % 9 when 0 then '' when 1 then '2026' when 2 then '2001-3-8' when 3 then '1899-12-31' "
     "when 4 then '2050-01-01' when 5 then 'abc' "
-    f"when 6 then {sample._iso(sample.HAPPENED)} else cast(o_orderdate as string) end"
+    f"when 6 then {sample._iso(sample.HAPPENED)} when 7 then '1980-05-05garbage' else cast(o_orderdate as string) end"
 )
 _FLAG_TEXT = (
     "case o_orderkey % 7 when 0 then '' when 1 then 'True' when 2 then ' YES' when 3 then '1' "
@@ -683,11 +684,9 @@ def _(spark, d):
 
 @register("duplicate_alerts", f"""
     select "table", duplicate_percent, 49.0::double as threshold, 'critical' as severity,
-      case "table" when 'stores' then '🏪 Stores Duplicates > 50%' when 'products' then '📦 Products Duplicates > 50%'
-        when 'customers' then '👥 Customers Duplicates > 50%' when 'purchases' then '🛒 Purchases Duplicates > 50%'
+      case "table" {' '.join(f"when '{x.table}' then '{x.title}'" for x in quality.ALERT_RULES)}
         else concat("table", ' duplicates') end as title,
-      case "table" when 'stores' then '🏪' when 'products' then '📦' when 'customers' then '👥'
-        when 'purchases' then '🛒' else '' end as emoji
+      case "table" {' '.join(f"when '{x.table}' then '{x.emoji}'" for x in quality.ALERT_RULES)} else '' end as emoji
     from ({_STATS_SQL}) where duplicate_percent > 49""")
 def _(spark, d):
     return quality.duplicate_alerts(_stats(spark, d))
@@ -764,21 +763,28 @@ _ORPHANS = (
     ("header customer", "fact_purchases", "dim_customer", "customer_sk"),
     ("header store", "fact_purchases", "dim_store", "store_sk"),
     ("header address", "fact_purchases", "dim_delivery_address", "delivery_address_sk"),
+    ("header date", "fact_purchases", "dim_date", "purchase_date_sk"),
+    ("customer location", "dim_customer", "dim_store_location", "purchase_location_sk"),
+    ("customer address", "dim_customer", "dim_delivery_address", "delivery_address_sk"),
+    ("store location", "dim_store", "dim_store_location", "store_location_sk"),
+    ("product manufacturer", "dim_product", "dim_manufacturer", "manufacturer_sk"),
 )
+# Dimension keys that differ from the key of the row that refers to them.
+_DIM_KEY = {"purchase_date_sk": "date_sk", "purchase_location_sk": "store_location_sk"}
 
 
 @register("orphan_keys", oracle.with_(
     _mart_ctes("fact_purchase_items", "fact_purchases", "dim_manufacturer", "dim_product",
-               "dim_customer", "dim_store", "dim_delivery_address"),
+               "dim_customer", "dim_store", "dim_delivery_address", "dim_date", "dim_store_location"),
     " union all ".join(
         f"select '{label}' as \"check\", count(*) as orphan_rows, count(distinct f.{key}) as orphan_keys "
         f"from {fact} f where f.{key} is not null and not exists "
-        f"(select 1 from {dim} x where x.{key} = f.{key})"
+        f"(select 1 from {dim} x where x.{_DIM_KEY.get(key, key)} = f.{key})"
         for label, fact, dim, key in _ORPHANS)))
 def _(spark, d):
     built = {n: _target(spark, d, n) for n in {x for o in _ORPHANS for x in o[1:3]}}
     return quality.orphan_report(
-        [(label, built[fact], built[dim], key, key) for label, fact, dim, key in _ORPHANS]
+        [(label, built[fact], built[dim], key, _DIM_KEY.get(key, key)) for label, fact, dim, key in _ORPHANS]
     )
 
 
@@ -814,22 +820,26 @@ def _(spark, d):
     return monitoring.total_rows({t: table(spark, d, t) for t in _TABLES})
 
 
-@register("table_sizes")
+@register("table_sizes", " union all ".join(
+    f"select '{t}' as \"table\", count(*) as records, count(*) > 0 as has_bytes from {t}" for t in _TABLES))
 def _(spark, d):
-    return monitoring.table_sizes({t: table(spark, d, t) for t in _TABLES})
+    """Megabytes depend on the files, not on the rows: compared with the files in a test."""
+    sizes = monitoring.table_sizes({t: table(spark, d, t) for t in _TABLES})
+    return sizes.select("table", "records", (F.col("size_mb") > 0).alias("has_bytes"))
 
 
 _HOUR = "date_trunc('hour', ts)"
+_EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 _FROM, _TO = "2024-01-05 06:30:00", "2024-01-20 18:00:00"
 
 
 @register("rows_per_hour", " union all ".join(
     f"select '{t}' as \"table\", {oracle.clock(_HOUR)} as time, count(*) as records "
     f"from events where event_type = '{t}' and ts between timestamp '{_FROM}' and timestamp '{_TO}' group by 1, 2"
-    for t in ("purchase", "signup", "view")))
+    for t in _EVENT_TYPES))
 def _(spark, d):
     events = table(spark, d, "events")
-    tables = {t: events.where(F.col("event_type") == t) for t in ("purchase", "signup", "view")}
+    tables = {t: events.where(F.col("event_type") == t) for t in _EVENT_TYPES}
     return portable(monitoring.rows_per_hour(tables, _FROM, _TO, "ts"))
 
 
@@ -972,16 +982,51 @@ def _(spark, d):
     return portable(windows.read_hourly_counts(spark, f"{root}/rows"))
 
 
+def _newest_first(spark, d) -> str:
+    """Events as one file a day, the newest day written first, so that streams meet them late."""
+    path = fresh_dir(spark, "late")
+    events = table(spark, d, "events")
+    days = F.date_format("ts", "yyyyMMdd").cast("int")
+    turned = events.withColumn("turn", 99999999 - days)
+    turned.repartitionByRange(16, "turn").sortWithinPartitions("turn").drop("turn").write.parquet(path)
+    return path
+
+
+@register("stream_late_rows", f"""
+    select event_type as "table", {oracle.clock("date_trunc('hour', ts)")} as time,
+      count(*) as records from events group by 1, 2""")
+def _(spark, d):
+    """Hourly counts of events that arrive newest first, in many batches: none is lost."""
+    path, root = _newest_first(spark, d), fresh_dir(spark, "late-hours")
+    events = spark.readStream.schema(table(spark, d, "events").schema).option("maxFilesPerTrigger", 4)
+    windows.start_hourly_counts(
+        events.parquet(path), f"{root}/rows", f"{root}/state", "event_type", "ts"
+    ).awaitTermination()
+    return portable(windows.read_hourly_counts(spark, f"{root}/rows"))
+
+
+@register("stream_versions_in_one_batch", f"""
+    select event_type, {oracle.clock('ts')} as ts, event_id, user_id from (
+      select *, row_number() over (partition by event_type order by ts desc, event_id desc) as rn from events)
+    where rn = 1""")
+def _(spark, d):
+    """Every event is a version of its type: the newest one stays, whatever shares its batch."""
+    root = fresh_dir(spark, "versions")
+    events = sample.table_stream(spark, d, "events").select("event_type", "ts", "event_id", "user_id")
+    ingest.upsert_stream(
+        events, f"{root}/rows", f"{root}/state", ["event_type"], ["ts", "event_id"]
+    ).awaitTermination()
+    return portable(ingest.newest(spark, f"{root}/rows", events.schema, "event_type", ["ts", "event_id"]))
+
+
 @register("stream_dedup_watermark", f"""
     select event_id, {oracle.clock('ts')} as ts, user_id, event_type, value, props from events""")
 def _(spark, d):
     root = fresh_dir(spark, "unique")
     events = sample.table_stream(spark, d, "events")
     twice = events.unionByName(sample.table_stream(spark, d, "events"))
-    single = windows.without_repeats(twice, "event_id", "ts", "1 day")
-    ingest.upsert_stream(single, f"{root}/rows", f"{root}/state").awaitTermination()
-    stored = sinks.read_batches(spark, f"{root}/rows", single.schema)
-    return portable(stored.drop("batch_id"))
+    windows.start_unique(twice, f"{root}/rows", f"{root}/state", "event_id", "ts").awaitTermination()
+    return portable(sinks.read_batches(spark, f"{root}/rows", events.schema).drop("batch_id"))
 
 
 @register("stream_upsert_by_key", f"""
@@ -990,10 +1035,101 @@ def _(spark, d):
     root = fresh_dir(spark, "upsert")
     events = sample.table_stream(spark, d, "events")
     twice = events.unionByName(sample.table_stream(spark, d, "events"))
-    ingest.upsert_stream(twice, f"{root}/rows", f"{root}/state", ["event_id"]).awaitTermination()
+    ingest.upsert_stream(
+        twice, f"{root}/rows", f"{root}/state", ["event_id"], "ts"
+    ).awaitTermination()
     return portable(ingest.newest(spark, f"{root}/rows", events.schema, "event_id", "ts"))
 
 
+_ALERT_STATS = " union all ".join(
+    f"select '{t}' as \"table\", round((count(*) - count(distinct user_id)) * 100.0 / nullif(count(*), 0), 2)::double "
+    f"as duplicate_percent from events where event_type = '{t}'" for t in _EVENT_TYPES)
+
+
+@register("stream_alerts", f"""
+    select "table", duplicate_percent, 49.0::double as threshold, 'critical' as severity,
+      concat("table", ' duplicates') as title, '' as emoji
+    from ({_ALERT_STATS}) where duplicate_percent > 49""")
+def _(spark, d):
+    """Users that repeat within an event type, watched by the stream."""
+    root = fresh_dir(spark, "alerts")
+    windows.start_alerts(
+        sample.table_stream(spark, d, "events"), root, f"{root}/state", "event_type", "user_id"
+    ).awaitTermination()
+    return windows.read_alerts(spark, root)
+
+
+def _in_batches(spark, d, topic, files=4, with_mart=True) -> str:
+    """Ingest target of one topic that arrived in several batches."""
+    log, root = fresh_dir(spark, "log"), fresh_dir(spark, "upkeep")
+    messages.publish_files(sample.envelopes(spark, d, topic).repartition(files), log)
+    jobs.ingest(messages.file_stream(spark, log, 1), root, AS_OF, (topic,), with_mart=with_mart)
+    return root
+
+
+@register("compact_versions", oracle.with_(
+    {"dim_product": oracle.current_sql("dim_product")},
+    f"select {', '.join(_STREAMED)}, 1 as batches from dim_product"))
+def _(spark, d):
+    """Versions of several batches merged at rest; one batch is left."""
+    root = _in_batches(spark, d, "products")
+    upkeep.compact_versions(spark, root, "dim_product", AS_OF)
+    layout = ingest.Layout(root)
+    left = len(upkeep.partition_values(spark, layout.mart("dim_product"), "batch_id"))
+    rows = ingest.read_versions(spark, layout, "dim_product", AS_OF).select(*_STREAMED)
+    return portable(rows).withColumn("batches", F.lit(left))
+
+
+@register("apply_retention", oracle.with_(oracle.raw_ctes("raw_purchases"), f"""
+    select purchase_id, {oracle.clock('event_time')} as event_time from raw_purchases
+    where event_time >= {NOW} - interval '45' day"""))
+def _(spark, d):
+    """Raw rows that a retention of 45 days leaves."""
+    root = _in_batches(spark, d, "purchases", with_mart=False)
+    upkeep.apply_retention(spark, root, AS_OF, 45, ("purchases",))
+    return portable(ingest.read_raw(spark, ingest.Layout(root), "purchases").select("purchase_id", "event_time"))
+
+
+def _mart_stats_sql() -> str:
+    parts = []
+    for name, target in mart.TARGETS.items():
+        if name == "dim_date":
+            rows = oracle.with_(oracle.raw_ctes("raw_purchases"), oracle.calendar_sql(_PURCHASE_DAYS))
+        else:
+            rows = oracle.with_(oracle.versions_ctes(name), "select * from versions")
+        parts.append(_stats_sql(name, f"({rows})", target.key))
+    rows = oracle.with_(oracle.features_ctes("item", features.DEFAULTS), "select * from features")
+    parts.append(_stats_sql("customer_features_mart", f"({rows})", mart.FEATURES_KEY))
+    return " union all ".join(parts)
+
+
+@register("mart_duplicate_stats", _mart_stats_sql())
+def _(spark, d):
+    """Duplicate figures of the nine mart tables before merging, and of the feature table."""
+    tables = {
+        name: mart.build_target(name, sample.raw_table(spark, d, target.source), AS_OF, True, key32)
+        for name, target in mart.TARGETS.items()
+    }
+    tables["customer_features_mart"] = _features(spark, d)
+    return jobs.mart_duplicates(tables)
+
+
+@register("publish_all_topics", oracle.with_(
+    oracle.raw_ctes(*[f"raw_{t}" for t in ENTITIES]),
+    " union all ".join(f"select '{t}' as topic, {e.id_column} as entity_id from raw_{t}" for t, e in ENTITIES.items())))
+def _(spark, d):
+    """All topics published in one call and read back from the log."""
+    log = fresh_dir(spark, "topics")
+    jobs.publish_all(lambda t: sample.documents(spark, d, t), sample.HMAC_KEY, AS_OF, log)
+    sent = spark.read.schema(messages.ENVELOPE).json(log)
+    parts = [
+        envelope.to_raw(sent.where(F.col("topic") == t), t, AS_OF)
+        .select(F.lit(t).alias("topic"), F.col(f"`{e.id_column}`").alias("entity_id"))
+        for t, e in ENTITIES.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- sinks ------------------------------------------------------------------------
 
 _FILE_SQL = oracle.with_(
@@ -1021,6 +1157,35 @@ def _(spark, d):
     return _roundtrip(spark, d, "json")
 
 
+_SHOWN = ("customer_id", "total_purchases", "store_loyal", "no_purchases", "fruit_lover")
+
+
+@register("sink_all_formats", oracle.with_(
+    oracle.features_ctes("item", features.DEFAULTS),
+    " union all ".join(
+        f"select '{sink}' as sink, {', '.join(_SHOWN)} from features"
+        for sink in ("table", "csv", "json", "export_csv", "export_json"))))
+def _(spark, d):
+    """One run of the feature job into every sink that needs no server."""
+    folder, location = fresh_dir(spark, "results"), fresh_dir(spark, "table")
+    name = "all_" + location[-12:]
+    rows = _features(spark, d)
+    columns = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
+    spark.sql(f"create table {name} ({columns}) using parquet location '{location}'")
+    written = sinks.write_results(
+        rows, AS_OF, ("table", "csv", "json", "export"), folder, name, export_root=f"{folder}/store"
+    )
+    spark.sql(f"drop table {name}")
+    schema = StructType([f for f in rows.schema.fields if f.name not in sinks.TECHNICAL])
+    parts = [spark.read.parquet(location).select(F.lit("table").alias("sink"), *_SHOWN)]
+    for sink, path in written.items():
+        if sink != "table":
+            reader = spark.read.schema(schema)
+            read = reader.option("header", True).csv(path) if sink.endswith("csv") else reader.json(path)
+            parts.append(read.select(F.lit(sink).alias("sink"), *_SHOWN))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("sink_table_replace", oracle.with_(
     oracle.features_ctes("item", features.DEFAULTS),
     "select customer_id, customer_sk, total_purchases, total_spent, store_loyal from features"))

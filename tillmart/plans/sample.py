@@ -20,19 +20,20 @@ from tillmart.operators.dimensions import calendar_for
 AS_OF = "2001-08-02"
 HMAC_KEY = "sample-key"
 
-# Product group texts as they arrive, per part type.
+# Product group texts as they arrive, per part type: an emoji, a comma, and the stem
+# of one feature category each.
 GROUPS = {
-    "ECONOMY": "🥖 Зерновые и хлебобулочные изделия",
-    "SMALL": "🥩 Мясо, рыба, яйца и бобовые",
-    "MEDIUM": "🥛 Молочные продукты",
-    "PROMO": "🍏 Фрукты и ягоды",
-    "STANDARD": "🥦 Овощи и зелень",
+    "ECONOMY": "🍞 Свежий хлеб, выпечка",
+    "SMALL": "🍗 Птица, мясо, рыба",
+    "MEDIUM": "🧀 Сыр, творог, всё молочное",
+    "PROMO": "🍓 Сезонные фрукты, компоты",
+    "STANDARD": "🥕 Наши овощи, салаты",
     "LARGE": "",
 }
 RAW_GROUP = "case p_type " + " ".join(
     f"when '{k}' then '{v}'" for k, v in GROUPS.items()
 ) + " end"
-_DROPPED = "🥖🥩🥛🍏🥦,"
+_DROPPED = "🍞🍗🧀🍓🥕,"
 CLEAN_GROUP = (
     f"case when p_type = 'LARGE' then 'unknown' else "
     f"trim(lower(translate({RAW_GROUP}, '{_DROPPED}', ''))) end"
@@ -43,17 +44,28 @@ PAYMENT = (
     "when substr(o_orderpriority, 1, 1) in ('3', '4') then 'card' else 'online' end"
 )
 HAPPENED = "o_orderdate + (o_orderkey % 24) * interval '1' hour"
+# Some purchases name a customer nobody knows, and some go to a neighbour, so that
+# customers 7 and 8 of every fifty have none.
+BUYER = (
+    "case o_custkey % 50 when 7 then concat('cus-x', cast(o_custkey as string)) "
+    "when 8 then concat('cus-', cast(o_custkey + 1 as string)) "
+    "else concat('cus-', cast(o_custkey as string)) end"
+)
+ORDERS_FROM = (
+    "orders left join (select l_orderkey as counted_key, count(*) as n_lines from lineitem "
+    "group by l_orderkey) on o_orderkey = counted_key"
+)
 
 # Typed mart-shaped inputs of the feature job.
 MART = {
-    "purchases": ("orders", {
+    "purchases": (ORDERS_FROM, {
         "purchase_id": "concat('ord-', cast(o_orderkey as string))",
-        "customer_id": "concat('cus-', cast(o_custkey as string))",
+        "customer_id": BUYER,
         "store_id": "concat('store-', cast(o_orderkey % 10 as string))",
         "total_amount": "cast(o_totalprice as decimal(12,2))",
         "payment_method": PAYMENT,
         "is_delivery": "case when o_orderstatus = 'F' then 1 else 0 end",
-        "items_count": "cast(1 + o_orderkey % 5 as int)",
+        "items_count": "cast(coalesce(n_lines, 0) as int)",
         "raw_event_time": HAPPENED,
         "purchase_date_sk": (
             "cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 "
@@ -201,7 +213,7 @@ _STORE = {
     "store_network": "case s_suppkey % 3 when 0 then 'Большая сеть' when 1 then 'Малая сеть' else '' end",
     "store_type_description": "case s_suppkey % 2 when 0 then 'Более 200 м²' else '' end",
     "type": "case s_suppkey % 5 when 0 then '' else 'Offline' end",
-    "categories": "case s_suppkey % 4 when 0 then '🥖 Хлеб, 🥛 Молочные' when 1 then 'Овощи!' else 'Мясо, Рыба' end",
+    "categories": "case s_suppkey % 4 when 0 then '🍞 Хлеб, 🧀 Сыры' when 1 then 'Овощи!' else 'Мясо, Рыба' end",
     "manager.name": "concat('Manager ', cast(s_suppkey as string))",
     "manager.phone": "concat('8 9', lpad(cast(s_suppkey as string), 9, '0'))",
     "manager.email": "concat('M', cast(s_suppkey as string), '@SHOP.RU')",
@@ -223,29 +235,28 @@ _STORE = {
     ),
 }
 
-_SEED = "(o_orderkey + i)"
+_SEED = "(l_orderkey + l_linenumber)"
 _ITEM = {
-    "product_id": f"case when {_SEED} % 29 = 0 then '' else concat(' PRD-', cast((o_orderkey * 7 + i * 131) % 200 as string)) end",
-    "name": "concat('Item ', cast(i as string))",
-    "category": f"case {_SEED} % 3 when 0 then '🥛 Молочные продукты' when 1 then '🥩 Мясо, рыба' else '' end",
-    "quantity": f"case when {_SEED} % 13 = 0 then '-1' when {_SEED} % 17 = 0 then '' when {_SEED} % 19 = 0 then 'abc' else concat(cast(1 + {_SEED} % 5 as string), '.5') end",
+    "product_id": f"case when {_SEED} % 29 = 0 then '' else concat(' PRD-', cast(l_partkey as string)) end",
+    "name": "concat('Item ', cast(l_linenumber as string))",
+    "category": f"case {_SEED} % 3 when 0 then '🧀 Сыр, молочное' when 1 then '🍗 Мясо' else '' end",
+    "quantity": f"case when {_SEED} % 13 = 0 then '-1' when {_SEED} % 17 = 0 then '' when {_SEED} % 19 = 0 then 'abc' else concat(cast(cast(l_quantity as int) as string), '.5') end",
     "unit": f"case {_SEED} % 2 when 0 then 'ШТ' else '' end",
-    "price_per_unit": f"case when {_SEED} % 23 = 0 then '-3' else concat(cast(90 + {_SEED} % 100 as string), '.99') end",
-    "total_price": f"case when {_SEED} % 31 = 0 then '1e3' else concat(cast(90 + {_SEED} % 1000 as string), '.129') end",
+    "price_per_unit": f"case when {_SEED} % 23 = 0 then '-3' else concat(cast(cast(floor(l_extendedprice / l_quantity) as int) as string), '.99') end",
+    "total_price": f"case when {_SEED} % 31 = 0 then '1e3' else concat(cast(cast(l_extendedprice as decimal(12,2)) as string), '9') end",
     "kbju.calories": f"case when {_SEED} % 7 = 0 then 'nan' else cast({_SEED} % 500 as string) end",
     "kbju.protein": f"concat(cast({_SEED} % 50 as string), '.5')",
     "kbju.fat": f"case when {_SEED} % 5 = 0 then '-1' else '3.25' end",
     "kbju.carbohydrates": "''",
-    "manufacturer.name": "'Maker'",
+    "manufacturer.name": "concat('Maker ', cast(l_suppkey as string))",
     "manufacturer.country": "'Россия'",
     "manufacturer.website": "''",
-    "manufacturer.inn": f"case when {_SEED} % 11 = 0 then '' else concat('77', lpad(cast({_SEED} % 25 as string), 8, '0')) end",
+    "manufacturer.inn": f"case when {_SEED} % 11 = 0 then '' else concat('77', lpad(cast(l_suppkey % 56 as string), 8, '0')) end",
 }
-ITEM_RANGE = "1 + o_orderkey % 3"
 
 _PURCHASE = {
     "purchase_id": "case when o_orderkey % 211 = 0 then '' else concat('ORD-', cast(o_orderkey as string)) end",
-    "customer.customer_id": "concat('cus-', cast(o_custkey as string))",
+    "customer.customer_id": BUYER,
     "customer.first_name": "concat('Name ', cast(o_custkey % 100 as string))",
     "customer.last_name": "''",
     "customer.email": "case when o_orderkey % 3 = 0 then '' else concat('C', cast(o_custkey as string), '@X.RU') end",
@@ -271,6 +282,8 @@ _PURCHASE = {
     ),
 }
 
+# Orders with all their lines as an array ``basket``.
+BASKETS_FROM = "orders with lines"
 STORE_FROM = (
     "supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey"
 )
@@ -280,7 +293,7 @@ DOCUMENTS = {
     "stores": (STORE_FROM, "s_suppkey", _STORE),
     "products": ("part", "p_partkey", _PRODUCT),
     "customers": ("customer", "c_custkey", _CUSTOMER),
-    "purchases": ("orders", "o_orderkey", _PURCHASE),
+    "purchases": (BASKETS_FROM, "o_orderkey", _PURCHASE),
 }
 
 
@@ -293,29 +306,37 @@ def flat_item_exprs() -> dict[str, str]:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A sample table as a file stream."""
+    """A sample table as a file stream, whether it is one file or a folder of parts."""
+    # A pattern, because a stream takes a plain path for a folder only.
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", 100)
-        .parquet(sf_dir)
-    )
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _source(spark: SparkSession, sf_dir: str, relation: str, stream: bool = False) -> DataFrame:
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    first = "supplier" if relation == STORE_FROM else relation
+    first = {STORE_FROM: "supplier", ORDERS_FROM: "orders", BASKETS_FROM: "orders"}.get(relation, relation)
     rows = table_stream(spark, sf_dir, first) if stream else read(first)
-    if relation != STORE_FROM:
-        return rows
-    return (
-        rows
-        .join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
+    if relation == STORE_FROM:
+        return (
+            rows
+            .join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        )
+    if relation == ORDERS_FROM:
+        counted = read("lineitem").groupBy(F.col("l_orderkey").alias("counted_key")).agg(
+            F.count(F.lit(1)).alias("n_lines")
+        )
+        return rows.join(counted, F.col("o_orderkey") == F.col("counted_key"), "left")
+    if relation == BASKETS_FROM:
+        # One array per order: its size is the number of lines of one purchase.
+        line = F.struct(*[c for c in read("lineitem").columns])
+        baskets = read("lineitem").groupBy(F.col("l_orderkey").alias("basket_key")).agg(
+            F.collect_list(line).alias("basket")
+        )
+        return rows.join(baskets, F.col("o_orderkey") == F.col("basket_key"), "left")
+    return rows
 
 
 def mart_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -353,7 +374,7 @@ def _nested(schema: StructType, exprs: dict[str, str], lists, parents=(), item=N
         if isinstance(field.dataType, StructType):
             value = F.struct(*_nested(field.dataType, exprs, lists, path))
         elif isinstance(field.dataType, ArrayType):
-            value = F.expr(_item_array(_item_struct()))
+            value = F.expr(_item_array(_item_struct())).cast(field.dataType)
         else:
             value = F.expr(exprs[".".join(path)])
             if "_".join(path) in lists:
@@ -363,9 +384,9 @@ def _nested(schema: StructType, exprs: dict[str, str], lists, parents=(), item=N
 
 
 def _item_array(element: str) -> str:
-    """The first one to three items, written out so that Spark compiles them."""
-    members = ", ".join(re.sub(r"\bi\b", str(i), element) for i in (1, 2, 3))
-    return f"slice(array({members}), 1, cast({ITEM_RANGE} as int))"
+    """The element expression over every line of the basket."""
+    member = re.sub(r"\bl_(\w+)", r"line.l_\1", element)
+    return f"coalesce(transform(basket, line -> {member}), array())"
 
 
 def _item_struct() -> str:
@@ -412,10 +433,12 @@ def raw_table(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """The raw all-string table of one topic, without the JSON detour."""
     relation, key, exprs = DOCUMENTS[topic]
     columns = []
+    flat_items = "array<struct<" + ",".join(f"{n}:string" for n in flat_item_exprs()) + ">>"
     for path, dtype in leaf_paths(ENTITIES[topic].schema):
         if isinstance(dtype, ArrayType):
             flat = ", ".join(f"'{n}', {sql}" for n, sql in flat_item_exprs().items())
-            sql = _item_array(f"named_struct({flat})")
+            columns.append(F.expr(_item_array(f"named_struct({flat})")).cast(flat_items).alias("_".join(path)))
+            continue
         else:
             sql = exprs[".".join(path)]
         columns.append(F.expr(sql).alias("_".join(path)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -18,6 +19,8 @@ RESULT_PREFIX = "analytic_result"
 TECHNICAL = ("customer_sk", "created_at")
 EXPORT_FOLDER = "analytics"
 FORMATS = ("table", "csv", "json")
+MORE_FORMATS = ("jdbc", "export")
+_NO_TABLE = r"not (exist|found)|doesn't exist|no such table|unknown table"
 
 
 def dated_name(as_of: str | date | datetime, fmt: str, prefix: str = RESULT_PREFIX) -> str:
@@ -64,11 +67,16 @@ def replace_table(df: DataFrame, table: str) -> None:
 
 
 def replace_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
-    """Truncate and refill an existing JDBC table; error if it is missing."""
+    """Truncate and refill an existing JDBC table; error if it is missing.
+
+    Other failures, such as a refused login, are raised as they are.
+    """
     spark = df.sparkSession
     try:
         spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().schema
     except Exception as error:
+        if not re.search(_NO_TABLE, str(error), re.IGNORECASE):
+            raise
         raise RuntimeError(f"table {table} does not exist") from error
     (
         df.write.format("jdbc")
@@ -84,9 +92,15 @@ def write_results(
     formats: Sequence[str] = FORMATS,
     folder: str | None = None,
     table: str | None = None,
+    jdbc: dict[str, str] | None = None,
+    export_root: str | None = None,
 ) -> dict[str, str]:
-    """Writes one result to several sinks, computing it once."""
-    unknown = set(formats) - set(FORMATS)
+    """Writes one result to several sinks, computing it once.
+
+    ``jdbc`` holds url, table and connector options of the ``jdbc`` sink;
+    ``export`` writes dated CSV and JSON below ``export_root``.
+    """
+    unknown = set(formats) - {*FORMATS, *MORE_FORMATS}
     if unknown:
         raise ValueError(f"unknown sinks {sorted(unknown)}")
     kept = df.persist()
@@ -95,6 +109,12 @@ def write_results(
         if "table" in formats:
             replace_table(kept, table)
             written["table"] = table
+        if "jdbc" in formats:
+            replace_jdbc(kept, **jdbc)
+            written["jdbc"] = jdbc["table"]
+        if "export" in formats:
+            for fmt, path in export_results(kept, export_root, as_of).items():
+                written[f"export_{fmt}"] = path
         for fmt in ("csv", "json"):
             if fmt in formats:
                 written[fmt] = write_dated(kept, folder, as_of, fmt)

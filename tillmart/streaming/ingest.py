@@ -17,13 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillmart.entities import ENTITIES
-from tillmart.operators.envelope import (
-    accepted,
-    flatten,
-    open_envelopes,
-    rejected,
-    with_month,
-)
+from tillmart.operators.envelope import flat_columns, flatten, open_envelopes, with_month
 from tillmart.operators.mart import TARGETS, build_target, current
 from tillmart.operators.versions import latest_by_key
 from tillmart.sources.messages import ENVELOPE
@@ -76,35 +70,49 @@ def read_dead_letters(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_batches(spark, layout.dead, _DEAD_SCHEMA)
 
 
-def read_mart(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFrame:
-    """Current rows of one mart target."""
+def read_versions(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFrame:
+    """All stored versions of one mart target, with their batch."""
     source = TARGETS[name].source
     empty = spark.createDataFrame([], raw_schema(spark, source))
     schema = build_target(name, empty, as_of, by_event_time=True).schema
-    versions = read_batches(spark, layout.mart(name), schema)
-    return current(name, versions.drop("batch_id"))
+    return read_batches(spark, layout.mart(name), schema)
+
+
+def read_mart(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFrame:
+    """Current rows of one mart target."""
+    return current(name, read_versions(spark, layout, name, as_of), ("batch_id",)).drop("batch_id")
 
 
 def ingest_batch(
     batch: DataFrame, batch_id: int, layout: Layout, received_at, topics: Iterable[str]
 ) -> None:
-    """Writes raw rows and dead letters of one micro-batch."""
-    kept = batch.persist()
+    """Writes raw rows and dead letters of one micro-batch; a message is opened once."""
+    kept = [batch.persist()]
     try:
-        dead = kept.where(~F.col("topic").isin(*topics)).select(
+        dead = batch.where(F.col("topic").isNull() | ~F.col("topic").isin(*topics)).select(
             "topic", "json_data", "event_time", F.lit("unknown topic").alias("reject_reason")
         )
         for topic in topics:
             entity = ENTITIES[topic]
             opened = open_envelopes(
-                kept.where(F.col("topic") == topic), entity.schema, received_at
+                batch.where(F.col("topic") == topic), entity.schema, received_at
             )
-            rows = with_month(flatten(accepted(opened), entity))
+            parsed = opened.select(
+                "topic", "reject_reason", F.col("event_time").alias("_sent"), "json_data",
+                F.col("event_clock").alias("event_time"), *flat_columns(entity),
+            ).persist()
+            kept.append(parsed)
+            rows = parsed.where(F.col("reject_reason").isNull())
+            rows = with_month(rows.drop("topic", "reject_reason", "_sent"))
             write_batch(rows, layout.raw(topic), batch_id, ("event_month",))
-            dead = dead.unionByName(rejected(opened))
+            bad = parsed.where(F.col("reject_reason").isNotNull())
+            dead = dead.unionByName(
+                bad.select("topic", "json_data", F.col("_sent").alias("event_time"), "reject_reason")
+            )
         write_batch(dead, layout.dead, batch_id)
     finally:
-        kept.unpersist()
+        for frame in kept:
+            frame.unpersist()
 
 
 def cascade_batch(
@@ -136,8 +144,11 @@ def start_ingest(
 ) -> StreamingQuery:
     """Starts the ingest stream; ``once`` drains what is there and stops.
 
-    ``as_of`` is a moment, or a function of the batch id for a running stream.
+    ``as_of`` is a moment, or a function of the batch id. A running stream needs the
+    function: a constant would turn every later purchase time into itself.
     """
+    if not once and not callable(as_of):
+        raise ValueError("a running stream needs as_of as a function of the batch id")
     wanted = tuple(topics)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -159,17 +170,20 @@ def upsert_stream(
     path: str,
     checkpoint: str,
     key: list[str] | None = None,
+    version: str | list[str] | None = None,
     once: bool = True,
     every: str = "30 seconds",
 ) -> StreamingQuery:
     """Appends each batch as versions below ``path``; read with :func:`newest`.
 
-    With ``key`` the repeats inside a batch are combined map-side first, so one
-    often repeated message does not load a single task.
+    With ``key`` and ``version`` only the newest row per key of a batch is stored,
+    chosen map-side first, so one often repeated message does not load a single task.
     """
+    if (key is None) != (version is None):
+        raise ValueError("key and version go together")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.dropDuplicates(key) if key else batch, path, batch_id)
+        write_batch(latest_by_key(batch, key, version) if key else batch, path, batch_id)
 
     writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": every}

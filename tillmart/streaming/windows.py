@@ -1,4 +1,9 @@
-"""Hourly counts and duplicate-tolerant ingest as streams."""
+"""Hourly counts and duplicate-tolerant ingest as streams that lose no late row.
+
+Neither keeps watermarked state. A batch writes its own rows under its own
+``batch_id``; what batches have in common is settled on reading (hourly counts)
+or against the written keys (repeats). A replayed batch replaces its output.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-from tillmart.sources.sinks import write_batch
-from tillmart.streaming.ingest import newest
+from tillmart.functions.numbers import percent
+from tillmart.operators.quality import duplicate_alerts
+from tillmart.operators.versions import latest_by_key
+from tillmart.sources.sinks import read_batches, write_batch
 
 _HOURLY = StructType(
     [
@@ -19,45 +26,92 @@ _HOURLY = StructType(
 )
 
 
-def hourly_counts(events: DataFrame, table: str, column: str, late: str) -> DataFrame:
-    """Running records per table and hour; state is dropped ``late`` behind."""
-    return (
-        events.withColumn(column, F.col(column).cast("timestamp"))
-        .withWatermark(column, late)
-        .groupBy(F.col(table).alias("table"), F.window(column, "1 hour").alias("w"))
-        .agg(F.count(F.lit(1)).alias("records"))
-        .select("table", F.col("w.start").cast("timestamp_ntz").alias("time"), "records")
+def hourly_counts(events: DataFrame, table: str, column: str) -> DataFrame:
+    """Records per table and hour."""
+    hour = F.date_trunc("hour", F.col(column)).cast("timestamp_ntz")
+    return events.groupBy(F.col(table).alias("table"), hour.alias("time")).agg(
+        F.count(F.lit(1)).alias("records")
     )
 
 
 def start_hourly_counts(
     events: DataFrame, path: str, checkpoint: str, table: str, column: str,
-    late: str = "1 day", once: bool = True,
+    once: bool = True, every: str = "30 seconds",
 ) -> StreamingQuery:
-    """Writes changed hours of each batch; read with :func:`read_hourly_counts`."""
-    counts = hourly_counts(events, table, column, late)
-    writer = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
-        .option("checkpointLocation", checkpoint)
-    )
-    trigger = {"availableNow": True} if once else {"processingTime": "30 seconds"}
-    return writer.trigger(**trigger).start()
+    """Writes each batch's partial counts; read with :func:`read_hourly_counts`."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(hourly_counts(batch, table, column), path, batch_id)
+
+    return _start(events, handle, checkpoint, once, every)
 
 
 def read_hourly_counts(spark: SparkSession, path: str) -> DataFrame:
-    return newest(spark, path, _HOURLY, ["table", "time"], [])
+    """Counts of all batches; a row counts whenever it arrives."""
+    return read_batches(spark, path, _HOURLY).groupBy("table", "time").agg(
+        F.sum("records").alias("records")
+    )
 
 
-def without_repeats(events: DataFrame, key: str, column: str, late: str) -> DataFrame:
-    """Drops repeats of ``key`` that arrive within ``late`` of each other.
+def start_unique(
+    events: DataFrame, path: str, checkpoint: str, key: str, version: str,
+    once: bool = True, every: str = "30 seconds",
+) -> StreamingQuery:
+    """Stores the first row of every key, however late its repeats come.
 
-    All repeats of a key in one batch pass through one task; bound the batch at
-    the source, or use ``upsert_stream(key=...)`` when single keys repeat a lot.
+    Repeats inside a batch are reduced map-side. Keys of earlier batches are
+    read from the store, that column only. Rows without a key all stay.
     """
-    return (
-        events.withColumn(column, F.col(column).cast("timestamp"))
-        .withWatermark(column, late)
-        .dropDuplicatesWithinWatermark([key])
-        .withColumn(column, F.col(column).cast("timestamp_ntz"))
-    )
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = read_batches(spark, path, events.schema).where(F.col("batch_id") < batch_id)
+        known = earlier.select(F.col(key).alias("_known"))
+        single = latest_by_key(batch.where(F.col(key).isNotNull()), key, version)
+        fresh = single.join(known, F.col(key) == F.col("_known"), "left_anti")
+        write_batch(fresh.unionByName(batch.where(F.col(key).isNull())), path, batch_id)
+
+    return _start(events, handle, checkpoint, once, every)
+
+
+_KEY_COUNTS = StructType(
+    [StructField("table", StringType()), StructField("key", StringType()), StructField("n", LongType())]
+)
+
+
+def start_alerts(
+    events: DataFrame, path: str, checkpoint: str, table: str, key: str,
+    once: bool = True, every: str = "30 seconds",
+) -> StreamingQuery:
+    """Evaluates the duplicate alerts after every batch; read with :func:`read_alerts`.
+
+    A batch stores its rows per key; the alerts look at the keys of all batches.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        counts = batch.groupBy(F.col(table).alias("table"), F.col(key).cast("string").alias("key")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        write_batch(counts, f"{path}/counts", batch_id)
+        stored = read_batches(spark, f"{path}/counts", _KEY_COUNTS).where(F.col("batch_id") <= batch_id)
+        per_key = stored.groupBy("table", "key").agg(F.sum("n").alias("n"))
+        surplus = F.sum("n") - F.count("key")
+        stats = per_key.groupBy("table").agg(percent(surplus, F.sum("n")).alias("duplicate_percent"))
+        write_batch(duplicate_alerts(stats), f"{path}/alerts", batch_id)
+
+    return _start(events, handle, checkpoint, once, every)
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """Alerts as of the newest batch that counted anything."""
+    last = read_batches(spark, f"{path}/counts", _KEY_COUNTS).agg(F.max("batch_id")).first()[0]
+    schema = duplicate_alerts(spark.createDataFrame([], "table string, duplicate_percent double")).schema
+    alerts = read_batches(spark, f"{path}/alerts", schema)
+    return alerts.where(F.col("batch_id") == F.lit(last)).drop("batch_id")
+
+
+def _start(events: DataFrame, handle, checkpoint: str, once: bool, every: str) -> StreamingQuery:
+    writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if once else {"processingTime": every}
+    return writer.trigger(**trigger).start()
