@@ -256,6 +256,10 @@ def test_reputation_shrinks_and_blocks_only_what_is_sure(spark):
     rows += [(f"h{k}.spam.net", rng.random() < 0.95) for k in range(30) for _ in range(40)]
     rows += [("new.good.org", True), ("new.spam.net", True)]
     known = {r.host: r for r in hosts.reputation(spark.createDataFrame(rows, "host string, bad boolean")).collect()}
+    others = spark.createDataFrame([("unseen.spam.net",), ("unseen.good.org",), ("x.unseen",), (None,)], "host string")
+    more = {r.host: r for r in hosts.reputation(spark.createDataFrame(rows, "host string, bad boolean"), others).collect()}
+    assert more["unseen.spam.net"].blocked and not more["unseen.good.org"].blocked and 0 < more["x.unseen"].rate < 1
+    assert more["unseen.spam.net"].pages == 0 and more["h1.good.org"].rate == known["h1.good.org"].rate
     assert known["new.spam.net"].rate > 0.8 and known["new.good.org"].rate < 0.4
     assert known["h1.spam.net"].blocked and known["new.spam.net"].blocked and not known["h1.good.org"].blocked and not known["new.good.org"].blocked
     assert all(r.bound < r.rate for r in known.values())

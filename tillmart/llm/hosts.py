@@ -78,7 +78,7 @@ def _strength(level: DataFrame, parent: list[str]) -> float:
     Compares the spread of the units' rates around their parent's rate with what chance alone gives.
     """
     pages, bad = F.col("pages").cast("double"), F.col("bad").cast("double")
-    within = level.groupBy(*parent).agg(
+    within = level.filter("pages > 0").groupBy(*parent).agg(
         (F.count("*") - 1).alias("free"), F.sum(bad * bad / pages).alias("bad2"), F.sum(pages * pages).alias("pages2"),
         F.sum(pages).alias("n"), F.sum(bad).alias("k"),
     )
@@ -93,11 +93,16 @@ def _strength(level: DataFrame, parent: list[str]) -> float:
     return min(max(row.room / row.over - 1, 1.0), 10_000.0)
 
 
-def reputation(outcomes: DataFrame, z: float = 1.645, limit: float = 0.5) -> DataFrame:
-    """(host, bad boolean) of labelled pages -> (host, pages, bad, rate, bound, blocked) of their hosts."""
+def reputation(outcomes: DataFrame, others: DataFrame | None = None, z: float = 1.645, limit: float = 0.5) -> DataFrame:
+    """(host, bad boolean) of labelled pages -> (host, pages, bad, rate, bound, blocked) of their hosts.
+
+    Hosts of ``others`` are judged too, by their domain where they have no labelled page.
+    """
+    seen = outcomes.select("host", F.col("bad").cast("long").alias("bad"))
+    if others is not None:
+        seen = seen.unionByName(others.select("host", F.lit(None).cast("long").alias("bad")))
     hosts = stored(
-        outcomes.filter(F.col("bad").isNotNull())
-        .groupBy("host").agg(F.count("*").alias("pages"), F.sum(F.col("bad").cast("long")).alias("bad"))
+        seen.groupBy("host").agg(F.count("bad").alias("pages"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))),
         "host-outcomes",
     )
@@ -108,14 +113,18 @@ def reputation(outcomes: DataFrame, z: float = 1.645, limit: float = 0.5) -> Dat
     fitted = {
         "host": _strength(hosts, ["suffix", "domain"]), "domain": _strength(domains, ["suffix"]), "suffix": _strength(suffixes, []),
     }
-    post = lambda pages, bad, name, prior: (bad + fitted[name] * prior) / (pages + fitted[name])
-    suffixes = suffixes.select("suffix", post(F.col("pages"), F.col("bad"), "suffix", F.lit(overall)).alias("suffix_rate"))
+    # A level cannot lend more pseudo-pages than it has labelled pages.
+    lent = lambda name, of: F.least(F.lit(fitted[name]), of + 1)
+    post = lambda prior, weight: (F.col("bad") + weight * prior) / (F.col("pages") + weight)
+    suffixes = suffixes.select(
+        "suffix", F.col("pages").alias("suffix_pages"), post(F.lit(overall), lent("suffix", F.lit(totals.n))).alias("suffix_rate")
+    )
     domains = domains.join(suffixes, "suffix").select(
-        "suffix", "domain", post(F.col("pages"), F.col("bad"), "domain", F.col("suffix_rate")).alias("domain_rate")
+        "suffix", "domain", lent("host", F.col("pages")).alias("weight"),
+        post(F.col("suffix_rate"), lent("domain", F.col("suffix_pages"))).alias("domain_rate"),
     )
-    weight = F.col("pages") + fitted["host"]
-    rate = post(F.col("pages"), F.col("bad"), "host", F.col("domain_rate"))
-    bound = F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (weight + 1))
+    rate = post(F.col("domain_rate"), F.col("weight"))
+    bound = F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("pages") + F.col("weight") + 1))
     return (
         hosts.join(domains, ["suffix", "domain"])
         .withColumn("rate", rate).withColumn("bound", bound)
@@ -128,10 +137,10 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], z: float
 
     ``pages`` has ``url``; ``outcomes`` has ``host`` and a boolean ``bad``. Columns of these names are replaced.
     """
-    known = stored(reputation(outcomes, z, limit).filter("host is not null"), "host-reputation")
-    known = known.select("host", F.col("pages").alias("host_pages"), F.col("bad").alias("host_bad"), F.col("blocked").alias("host_blocked"))
     rows = pages.drop("host", "path", "rule", "verdict", "host_pages", "host_bad", "host_blocked")
     rows = rows.withColumn("host", host_of()).withColumn("path", path_of())
+    known = stored(reputation(outcomes, rows, z, limit).filter("host is not null"), "host-reputation")
+    known = known.select("host", F.col("pages").alias("host_pages"), F.col("bad").alias("host_bad"), F.col("blocked").alias("host_blocked"))
     host, path = F.col("host"), F.col("path")
     by_host = F.when(F.col("host_blocked"), "block").otherwise("allow")
     return (

@@ -153,8 +153,9 @@ fit as (
   group by u.host, u.path),
 marks as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad from labels group by doc_id),
 bare as (
-  select host, count(*)::double as n, sum(bad)::double as k, regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':[0-9]*$', '') as b
-  from p join marks m on m.doc_id = try_cast(nullif(regexp_extract(path, '^/[a-z]+/([0-9]{1,18})', 1), '') as bigint)
+  select host, count(bad)::double as n, coalesce(sum(bad), 0)::double as k,
+    regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':[0-9]*$', '') as b
+  from p left join marks m on m.doc_id = try_cast(nullif(regexp_extract(path, '^/[a-z]+/([0-9]{1,18})', 1), '') as bigint)
   group by host),
 two as (select *, array_to_string(string_split(b, '.')[-2:], '.') as last2 from bare),
 h as (
@@ -167,9 +168,9 @@ h as (
 d as (select suffix, domain, sum(n) as n, sum(k) as k from h group by suffix, domain),
 s as (select suffix, sum(n) as n, sum(k) as k from d group by suffix),
 levels as (
-  select 'h' as l, count(*) - 1 as f, sum(k * k / n) as k2, sum(n * n) as n2, sum(n) as n, sum(k) as k from h group by suffix, domain union all
-  select 'd', count(*) - 1, sum(k * k / n), sum(n * n), sum(n), sum(k) from d group by suffix union all
-  select 's', count(*) - 1, sum(k * k / n), sum(n * n), sum(n), sum(k) from s),
+  select 'h' as l, count(*) - 1 as f, sum(k * k / n) as k2, sum(n * n) as n2, sum(n) as n, sum(k) as k from h where n > 0 group by suffix, domain union all
+  select 'd', count(*) - 1, sum(k * k / n), sum(n * n), sum(n), sum(k) from d where n > 0 group by suffix union all
+  select 's', count(*) - 1, sum(k * k / n), sum(n * n), sum(n), sum(k) from s where n > 0),
 sums as (
   select l, sum(k2 - k * k / n - f * v) as over, sum(v * (n - n2 / n - f)) as room
   from (select *, (k + 1) / (n + 2) * (1 - (k + 1) / (n + 2)) as v from levels) group by l),
@@ -180,11 +181,15 @@ wide as (
   select coalesce(max(m) filter (l = 'h'), 10000) as mh, coalesce(max(m) filter (l = 'd'), 10000) as md, coalesce(max(m) filter (l = 's'), 10000) as ms,
     (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) from s) as p0
   from w),
-sr as (select suffix, (k + ms * p0) / (n + ms) as r from s, wide),
-dr as (select d.suffix, d.domain, (d.k + md * sr.r) / (d.n + md) as r from d join sr using (suffix), wide),
+sr as (
+  select suffix, n, (k + w * p0) / (n + w) as r
+  from (select s.*, p0, least(ms, (select coalesce(sum(n), 0) from s) + 1) as w from s, wide)),
+dr as (
+  select suffix, domain, n, (k + w * r) / (n + w) as r
+  from (select d.*, sr.r, least(md, sr.n + 1) as w from d join sr using (suffix), wide)),
 hr as (
-  select h.host, h.n, h.k, (h.k + mh * dr.r) / (h.n + mh) as r, h.n + mh as size
-  from h join dr on h.suffix = dr.suffix and h.domain = dr.domain, wide),
+  select host, n, k, (k + w * r) / (n + w) as r, n + w as size
+  from (select h.*, dr.r, least(mh, dr.n + 1) as w from h join dr on h.suffix = dr.suffix and h.domain = dr.domain, wide)),
 judged as (select host, n, k, r - 1.645 * sqrt(r * (1 - r) / (size + 1)) > 0.5 as blocked from hr)
 select p.page_id, p.host, p.path, fit.rule,
   coalesce(fit.verdict, case when judged.blocked then 'block' else 'allow' end) as verdict,
