@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of
 from tillmart.operators import features as ft
 from tillmart.operators.mart import FEATURES_KEY
+from tillmart.plans import sample
 
 AS_OF = datetime(2026, 3, 8, 12)
 GROUPS = ["молочные продукты", "фрукты и ягоды", "овощи и зелень", "мясо рыба яйца и бобовые",
@@ -293,3 +294,16 @@ def test_plan_has_no_expand_no_python_and_combines_before_shuffles(spark):
                 "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
         assert bad not in plan
     assert "partial_sum" in plan
+
+
+def test_customers_without_purchases_and_unknown_buyers_occur(spark, sample_dir):
+    from tillmart.plans.queries import QUERIES
+
+    plain = QUERIES["customer_features_item_grain"].run(spark, sample_dir).collect()
+    zero = QUERIES["customer_features_null_as_zero"].run(spark, sample_dir).collect()
+    assert sum(r.no_purchases for r in plain) > 0
+    assert any(r.bought_milk_last_30d is None for r in plain)
+    assert all(r.bought_milk_last_30d is not None for r in zero)
+    known = {r.customer_id for r in plain}
+    buyers = {r.customer_id for r in sample.mart_tables(spark, sample_dir)["purchases"].select("customer_id").collect()}
+    assert buyers - known and known - buyers
