@@ -18,7 +18,7 @@ id are ordered by a hash of their text.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,10 +80,13 @@ def _range_of(key: str, cuts: list[int]) -> Column:
     return F.when(F.col(key).isNull(), 0).otherwise(found)
 
 
-def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(
+    documents: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame], derived: list[str]
+) -> DataFrame:
     """Adds ``next_<column>`` of the next row in ascending order of doc_id; after the last row comes the first.
 
-    ``documents`` has doc_id (an integer) and ``tie``, which orders rows of equal id.
+    ``documents`` has doc_id (an integer) and ``tie``, which orders rows of equal id. ``derive`` adds columns
+    to the rows, of which ``derived`` are then taken from the next row too, without moving rows again.
     """
     spark = documents.sparkSession
     count = documents.count()
@@ -97,6 +100,7 @@ def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
     first = rows.groupBy("range").agg(F.min(F.struct("doc_id", "tie")).alias("first")).orderBy("range").collect()  # a row a range
     shifted = [(first[k - 1]["range"], r["first"]["doc_id"], r["first"]["tie"]) for k, r in enumerate(first)]
     heads = spark.createDataFrame(shifted or [(0, None, None)], "head_range int, head_id long, head_tie long")
+    heads = stored(heads, "range-heads")  # so that its size is known, and the join does not move the texts
     order = ["after", F.col("doc_id").asc_nulls_first(), "tie"]
     copies = rows.join(
         heads, F.col("doc_id").eqNullSafe(F.col("head_id")) & F.col("tie").eqNullSafe(F.col("head_tie"))
@@ -105,6 +109,9 @@ def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
     window = Window.partitionBy("range").orderBy(*order)
     for c in columns:
         both = both.withColumn(f"next_{c}", F.lead(c).over(window))
+    both = derive(both)
+    for c in derived:
+        both = both.withColumn(f"next_{c}", F.lead(c).over(window))
     return both.filter("after = 0").drop("after", "range")
 
 
@@ -114,12 +121,7 @@ def fingerprints_with_edits(documents: DataFrame, text: str = "text") -> DataFra
     In the edited form the last floor(n / 2) code points are replaced by the first as many (or all) of the next document.
     """
     rows = documents.select("doc_id", text_of(text).alias("text")).withColumn("tie", F.xxhash64("text"))
-    rows = with_next(add_sketch(rows, "text", "sketch"), ["text", "sketch"])
-    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
-    rows = rows.withColumn("edited", F.concat(
-        F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("half")), F.substring("next_text", F.lit(1), F.col("half"))
-    ))
-    rows = add_sketch(rows, "edited", "edited_sketch")
+    rows = with_next(rows, ["text"], _with_edit, ["sketch"])
     rows = rows.withColumn("both_edited", _shared("sketch", "edited_sketch")).withColumn("both_next", _shared("sketch", "next_sketch"))
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
@@ -129,3 +131,12 @@ def fingerprints_with_edits(documents: DataFrame, text: str = "text") -> DataFra
         containment("sketch", "edited_sketch", "both_edited").alias("inside_edited"),
         containment("sketch", "next_sketch", "both_next").alias("inside_next"),
     )
+
+
+def _with_edit(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
+    rows = rows.withColumn("edited", F.concat(
+        F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("half")),
+        F.substring("next_text", F.lit(1), F.col("half"))
+    ))
+    return add_sketch(add_sketch(rows, "text", "sketch"), "edited", "edited_sketch").drop("next_text")
