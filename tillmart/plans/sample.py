@@ -7,9 +7,7 @@ purpose (blank, out of range, wrong type) to exercise the cleaning rules.
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -312,7 +310,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def _source(spark: SparkSession, sf_dir: str, relation: str, stream: bool = False) -> DataFrame:
+def _source(
+    spark: SparkSession, sf_dir: str, relation: str, stream: bool = False, line: str = "struct(*)"
+) -> DataFrame:
+    """Rows of a relation; ``line`` is what a basket holds for each line."""
+
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -330,11 +332,10 @@ def _source(spark: SparkSession, sf_dir: str, relation: str, stream: bool = Fals
         )
         return rows.join(counted, F.col("o_orderkey") == F.col("counted_key"), "left")
     if relation == BASKETS_FROM:
-        # One array per order: its size is the number of lines of one purchase.
-        line = F.struct(*[c for c in read("lineitem").columns])
-        baskets = read("lineitem").groupBy(F.col("l_orderkey").alias("basket_key")).agg(
-            F.collect_list(line).alias("basket")
-        )
+        # One array per order: its size is the number of lines of one purchase. Each
+        # element is made before it is collected, where Spark compiles it.
+        lines = read("lineitem").select(F.col("l_orderkey").alias("basket_key"), F.expr(line).alias("line"))
+        baskets = lines.groupBy("basket_key").agg(F.collect_list("line").alias("basket"))
         return rows.join(baskets, F.col("o_orderkey") == F.col("basket_key"), "left")
     return rows
 
@@ -374,7 +375,7 @@ def _nested(schema: StructType, exprs: dict[str, str], lists, parents=(), item=N
         if isinstance(field.dataType, StructType):
             value = F.struct(*_nested(field.dataType, exprs, lists, path))
         elif isinstance(field.dataType, ArrayType):
-            value = F.expr(_item_array(_item_struct())).cast(field.dataType)
+            value = _basket(field.dataType)
         else:
             value = F.expr(exprs[".".join(path)])
             if "_".join(path) in lists:
@@ -383,10 +384,9 @@ def _nested(schema: StructType, exprs: dict[str, str], lists, parents=(), item=N
     return fields
 
 
-def _item_array(element: str) -> str:
-    """The element expression over every line of the basket."""
-    member = re.sub(r"\bl_(\w+)", r"line.l_\1", element)
-    return f"coalesce(transform(basket, line -> {member}), array())"
+def _basket(kind) -> Column:
+    """The lines of a purchase, none for an order without any."""
+    return F.coalesce(F.col("basket").cast(kind), F.array().cast(kind))
 
 
 def _item_struct() -> str:
@@ -411,7 +411,7 @@ def documents(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Nested documents of one topic, one per source row."""
     relation, _, exprs = DOCUMENTS[topic]
     entity = ENTITIES[topic]
-    return _source(spark, sf_dir, relation).select(
+    return _source(spark, sf_dir, relation, line=_item_struct()).select(
         *_nested(entity.schema, exprs, entity.list_fields)
     )
 
@@ -422,7 +422,7 @@ def envelopes(spark: SparkSession, sf_dir: str, topic: str, stream: bool = False
     entity = ENTITIES[topic]
     clock = F.expr(event_time(key)).cast("timestamp_ntz")
     stamp = F.concat(F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+03:00"))
-    return _source(spark, sf_dir, relation, stream).select(
+    return _source(spark, sf_dir, relation, stream, _item_struct()).select(
         F.lit(topic).alias("topic"),
         F.to_json(F.struct(*_nested(entity.schema, exprs, entity.list_fields))).alias("json_data"),
         stamp.alias("event_time"),
@@ -432,15 +432,16 @@ def envelopes(spark: SparkSession, sf_dir: str, topic: str, stream: bool = False
 def raw_table(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """The raw all-string table of one topic, without the JSON detour."""
     relation, key, exprs = DOCUMENTS[topic]
-    columns = []
+    columns, line = [], "struct(*)"
     flat_items = "array<struct<" + ",".join(f"{n}:string" for n in flat_item_exprs()) + ">>"
     for path, dtype in leaf_paths(ENTITIES[topic].schema):
         if isinstance(dtype, ArrayType):
             flat = ", ".join(f"'{n}', {sql}" for n, sql in flat_item_exprs().items())
-            columns.append(F.expr(_item_array(f"named_struct({flat})")).cast(flat_items).alias("_".join(path)))
+            line = f"named_struct({flat})"
+            columns.append(_basket(flat_items).alias("_".join(path)))
             continue
         else:
             sql = exprs[".".join(path)]
         columns.append(F.expr(sql).alias("_".join(path)))
     clock = F.expr(event_time(key)).cast("timestamp_ntz").alias("event_time")
-    return _source(spark, sf_dir, relation).select(clock, *columns)
+    return _source(spark, sf_dir, relation, line=line).select(clock, *columns)
