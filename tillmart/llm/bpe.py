@@ -34,7 +34,9 @@ from pyspark.sql import types as T
 
 SHORT = 128
 #: Entries of each dictionary of words; a fuller one is emptied before the next rows.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
+#: Characters of text that are split and encoded at a time.
+STRETCH = 1_500_000
 NEVER = 1 << 30
 
 # The split pattern that the vocabulary was made with, and the letters and numbers that
@@ -184,23 +186,50 @@ class Tokenizer:
             return None
         return self.cut(" " + run)
 
+    def segments(self, text: str) -> Iterator[str | int]:
+        """Parts of a text that encode alone: ids of special tokens, and stretches of about ``STRETCH`` characters."""
+        parts = [text]
+        if self.special_split is not None and any(s in text for s in self.special):
+            parts = self.special_split.split(text)
+        for j, part in enumerate(parts):
+            if j % 2:
+                yield self.special[part]
+                continue
+            start, at = 0, STRETCH
+            while at < len(part) - 1:
+                at = part.find(" ", at, len(part) - 1)
+                if at < 0:
+                    break
+                # A single space between other characters always starts a piece.
+                if not part[at - 1].isspace() and not part[at + 1].isspace():
+                    yield part[start:at]
+                    start, at = at, at + STRETCH
+                else:
+                    at += 1
+            yield part[start:]
+
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Ids of several texts, so that their new words are encoded together."""
+        found: list[list[int]] = [[] for _ in texts]
+        waiting, size = [], 0
+        for k, text in enumerate(texts):
+            for segment in self.segments(text):
+                if isinstance(segment, str):
+                    size += len(segment)
+                waiting.append((k, segment))
+                if size >= STRETCH:
+                    self._encode(waiting, found)
+                    waiting, size = [], 0
+        self._encode(waiting, found)
+        return found
+
+    def _encode(self, segments: list[tuple[int, str | int]], found: list[list[int]]) -> None:
         if len(self.runs) > REMEMBERED:
             self.runs.clear()
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        segments, owner = [], []
-        for k, text in enumerate(texts):
-            if self.special_split is not None and any(s in text for s in self.special):
-                for j, part in enumerate(self.special_split.split(text)):
-                    segments.append(self.special[part] if j % 2 else part)
-                    owner.append(k)
-            else:
-                segments.append(text)
-                owner.append(k)
-        # A single space between other characters always starts a piece, so a text may be cut there first.
-        split = [None if isinstance(s, int) else s.split(" ") for s in segments]
+        # As in ``segments``, a text may be cut at single spaces first.
+        split = [None if isinstance(s, int) else s.split(" ") for _, s in segments]
         unknown = set(chain.from_iterable(words[1:] for words in split if words)).difference(self.runs)
         cuts = {run: self.cut_run(run) for run in unknown}
         heads = [self.cut(words[0]) if words else [] for words in split]
@@ -208,8 +237,7 @@ class Tokenizer:
         ids_of = self.pieces.__getitem__
         for run, pieces in cuts.items():
             self.runs[run] = None if pieces is None else tuple(chain.from_iterable(map(ids_of, pieces)))
-        found: list[list[int]] = [[] for _ in texts]
-        for k, segment, words, head in zip(owner, segments, split, heads, strict=True):
+        for (k, segment), words, head in zip(segments, split, heads, strict=True):
             if words is None:
                 found[k].append(segment)
                 continue
@@ -221,7 +249,6 @@ class Tokenizer:
             else:
                 found[k].extend(chain.from_iterable(map(ids_of, head)))
                 found[k].extend(chain.from_iterable(runs))
-        return found
 
     def decode(self, ids) -> str:
         known = self.bytes_of
@@ -244,7 +271,7 @@ def _vocabulary(frame: DataFrame, path: str):
 
 
 def _with_column(frame: DataFrame, name: str, kind: T.DataType, work: Callable, path: str, of: str) -> DataFrame:
-    """``work(tokenizer, values)`` gives the new column's values for up to 2,000 rows."""
+    """``work(tokenizer, values)`` gives the new column's values for up to 500 rows."""
     kept = [c for c in frame.columns if c.lower() != name.lower()]
     schema = T.StructType([f for f in frame.schema.fields if f.name in kept] + [T.StructField(name, kind)])
     arrow = pa.list_(pa.int32()) if isinstance(kind, T.ArrayType) else pa.string()
@@ -254,8 +281,8 @@ def _with_column(frame: DataFrame, name: str, kind: T.DataType, work: Callable,
         gc.disable()  # the dictionaries hold no cycles, and tracing them is slow
         known = tokenizer(sent.value)
         for batch in batches:
-            for at in range(0, max(batch.num_rows, 1), 2000):
-                rows = batch.slice(at, 2000)
+            for at in range(0, max(batch.num_rows, 1), 500):
+                rows = batch.slice(at, 500)
                 place = rows.schema.get_field_index
                 column = pa.array(work(known, rows.column(place(of))), type=arrow)
                 yield pa.RecordBatch.from_arrays([rows.column(place(c)) for c in kept] + [column], [*kept, name])
