@@ -14,8 +14,10 @@ which case Spark splits a hot site.
 
 Defined cases: a missing text stays missing and counts as a page without lines; a
 missing site is a site of its own; blank lines are never boilerplate; a line
-repeated on one page counts once; repeated rows count as separate pages; a page
-all of whose lines are dropped becomes an empty text; other columns are kept.
+repeated on one page counts once; a page all of whose lines are dropped becomes an
+empty text; other columns are kept. Rows of one site with equal texts count as separate
+pages, or with ``distinct`` as one page, so that no number of copies of a page makes its
+lines boilerplate.
 """
 
 from __future__ import annotations
@@ -34,14 +36,20 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
-def boilerplate(pages: DataFrame, site: str, text: str, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(pages: DataFrame, site: str, text: str, ratio: float, min_pages: int, distinct: bool = False) -> DataFrame:
     """(site, keys): for each site with boilerplate, the keys of those lines."""
     rows = pages.select(F.col(site).alias("site"), F.col(text).alias("text"))
-    totals = rows.groupBy("site").agg(F.count("*").alias("total"))
+    page = ["page"] if distinct else []
+    if distinct:
+        rows = rows.withColumn("page", _key(F.col("text")))
+    counted = rows.select("site", *page)
+    lines = rows.select("site", *page, F.explode(F.array_distinct(F.filter(_lines("text"), lambda x: F.trim(x) != ""))).alias("line"))
+    lines = lines.select("site", *page, _key(F.col("line")).alias("key"))
+    if distinct:
+        counted, lines = counted.distinct(), lines.distinct()
+    totals = counted.groupBy("site").agg(F.count("*").alias("total"))
     held = (
-        rows.select("site", F.explode(F.array_distinct(F.filter(_lines("text"), lambda x: F.trim(x) != ""))).alias("line"))
-        .select("site", _key(F.col("line")).alias("key"))
-        .groupBy("site", "key").agg(F.count("*").alias("held"))
+        lines.groupBy("site", "key").agg(F.count("*").alias("held"))
         .filter(F.col("held") >= min_pages)
     )
     common = held.join(totals, held["site"].eqNullSafe(totals["site"])).filter(F.col("held") > ratio * F.col("total"))
@@ -49,10 +57,11 @@ def boilerplate(pages: DataFrame, site: str, text: str, ratio: float, min_pages:
 
 
 def drop_site_lines(
-    pages: DataFrame, site: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 5
+    pages: DataFrame, site: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 5,
+    distinct: bool = False,
 ) -> DataFrame:
     """The pages with boilerplate lines taken out of their texts, plus ``n_lines`` and ``n_dropped``."""
-    found = stored(boilerplate(pages, site, text, ratio, min_pages), "site-lines")
+    found = stored(boilerplate(pages, site, text, ratio, min_pages, distinct), "site-lines")
     rows = pages.drop("n_lines", "n_dropped")
     site_name, keys, kept = unused(rows, "line_site", "line_keys", "line_kept")
     found = found.select(F.col("site").alias(site_name), F.col("keys").alias(keys))
