@@ -44,10 +44,10 @@ BLOCK = 4096
 PIECE = 1 << 15
 
 
-def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
+def shingle_hashes(text: str | None, shingle: int = 4, seed: int = 42) -> np.ndarray:
     words = (text or "").encode("utf-8", "replace").lower().split()  # bytes: only A-Z, only ASCII white space
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     plain = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
@@ -55,7 +55,11 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     last = max(len(words) - shingle, 0)
     spans = zip(starts[: last + 1].tolist(), ends[min(shingle, len(words)) - 1:].tolist(), strict=False)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(plain[a:b], seed) for a, b in spans], "<u8")
+    return np.array([digest(plain[a:b], seed) for a, b in spans], "<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
+    hashes = shingle_hashes(text, shingle, seed)
     votes = np.zeros(64, np.int64)
     for at in range(0, len(hashes), PIECE):
         part = hashes[at:at + PIECE].view(np.uint8).reshape(-1, 8)
@@ -253,7 +257,11 @@ def keep_one(documents: DataFrame, distance: int = 4, shingle: int = 4) -> DataF
     Rows with a missing id come last; among rows of equal id the smallest text hash stays, and of
     rows equal in both any one.
     """
-    found = near_duplicates(documents, distance=distance, shingle=shingle)
+    return first_of_each(documents, near_duplicates(documents, distance=distance, shingle=shingle))
+
+
+def first_of_each(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents that come first in their component; ``found`` has doc_id, text_key and component."""
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
     stay = stored(
         found.groupBy("component").agg(F.min(order).alias("first")).select(
