@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from tests.llm.rows import empty_documents, odd_documents, sentence, with_clashes
@@ -174,3 +175,23 @@ def test_trees_prune_nothing_they_need():
     a, b = points[:250], points[250:]
     i, j = vectors.linked(vectors.Tree(a), vectors.Tree(b), 0.98)
     assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [tuple(x) for x in np.argwhere(a @ b.T >= 0.98).tolist()]
+
+
+def test_larger_distances_lose_no_links(spark):
+    rng = np.random.default_rng(6)
+    values = {int(v) for v in rng.integers(0, 1 << 63, 150, dtype=np.uint64)}
+    for v in sorted(values)[:60]:  # one bit of each of five segments: within five, and equal in none of them
+        values.add(v ^ sum(1 << int(s + rng.integers(12)) for s in (0, 13, 26, 39, 52)))
+        values.add(v ^ sum(1 << int(b) for b in rng.choice(64, 9, replace=False)))
+    values = sorted(values)
+    array = np.array(values, np.uint64)
+    frame = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "print long")
+    for distance in (5, 9):
+        near = np.bitwise_count(array[:, None] ^ array[None]) <= distance
+        want = brute_groups(len(values), np.argwhere(np.triu(near, 1)).tolist())
+        got = {r.node: r.component for r in components.components(simhash.link_fingerprints(frame, distance)).collect()}
+        names = [got.get(int(np.uint64(v).view(np.int64)), i) for i, v in enumerate(values)]
+        assert len(set(zip(names, want, strict=True))) == len(set(names)) == len(set(want)) < len(values) - 50
+    for distance in (-1, 64):
+        with pytest.raises(ValueError):
+            simhash.link_fingerprints(frame, distance)

@@ -1,13 +1,14 @@
 """SimHash near duplicates by the pigeonring filter.
 
 A 64-bit fingerprint has a bit set where more than half of the hashes of the text's
-word shingles have it. The 64 bits are a ring of five segments. If two fingerprints
-differ in at most ``distance`` bits, then from some segment on, every chain of l
-segments differs in at most l * distance / 5 bits (rounded down: none in the first
-segment, one in the first two, ...). So candidates must agree on a segment and
-differ in at most one bit of the next. Every distinct fingerprint is written under
-each of its five pairs of neighbouring segments and under all one-bit changes of the
-second one. Rows of equal key meet, longer chains prune, and the full Hamming
+word shingles have it. The 64 bits are a ring of m segments: five, or one more than
+``distance`` if that is more. If two fingerprints differ in at most ``distance`` bits,
+then from some segment on, every chain of l segments differs in at most
+l * distance / m bits (rounded down: none in the first segment, one in the first two,
+...). So candidates must agree on a segment and differ in at most one bit of the next.
+Every distinct fingerprint is written under each of its m pairs of neighbouring segments
+and under all one-bit changes of the second one. Far distances have short segments and
+many candidates; a distance of 64 or more is refused. Rows of equal key meet, longer chains prune, and the full Hamming
 distance decides.
 
 Equal fingerprints are one row before that. Pairs never leave a task: each task
@@ -37,8 +38,6 @@ from pyspark.sql import types as T
 from tillmart.llm.common import stored, unused
 from tillmart.llm.components import components
 
-WIDTHS = (13, 13, 13, 13, 12)
-STARTS = (0, 13, 26, 39, 52)
 #: Fingerprints of one key that one task compares.
 BLOCK = 4096
 PIECE = 1 << 15
@@ -83,23 +82,35 @@ def add_fingerprint(documents: DataFrame, text: str = "text", column: str = "sim
     return documents.mapInArrow(made, schema)
 
 
-def _segments(prints: np.ndarray) -> list[np.ndarray]:
-    return [(prints >> np.uint64(s)) & np.uint64((1 << w) - 1) for s, w in zip(STARTS, WIDTHS, strict=True)]
+def widths(distance: int) -> list[int]:
+    """The bits of each segment, so many that a segment is equal if at most ``distance`` bits differ."""
+    if not 0 <= distance < 64:
+        raise ValueError("the distance of 64-bit fingerprints is from 0 to 63")
+    count = max(5, distance + 1)
+    return [64 // count + (k < 64 % count) for k in range(count)]
 
 
-def _written(batches: Iterator[pa.RecordBatch], exact: bool) -> Iterator[pa.RecordBatch]:
+def _segments(prints: np.ndarray, distance: int = 4) -> list[np.ndarray]:
+    wide = widths(distance)
+    starts = np.cumsum([0, *wide[:-1]]).tolist()
+    return [(prints >> np.uint64(s)) & np.uint64((1 << w) - 1) for s, w in zip(starts, wide, strict=True)]
+
+
+def _written(batches: Iterator[pa.RecordBatch], exact: bool, distance: int) -> Iterator[pa.RecordBatch]:
     """The ring keys of each fingerprint: (start, segment, next segment), the latter with its one-bit changes."""
+    wide = widths(distance)
     for batch in batches:
         everything = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
         for at in range(0, len(everything), 4096):
             prints = everything[at:at + 4096]
-            parts, keys = _segments(prints), []
-            for k in range(5):
-                following = parts[(k + 1) % 5]
+            parts, keys = _segments(prints, distance), []
+            for k in range(len(parts)):
+                after = (k + 1) % len(parts)
+                following = parts[after]
                 base = (np.uint64(k) << np.uint64(26)) | (parts[k] << np.uint64(13))
                 keys.append(base | following)
                 if not exact:
-                    keys += [base | (following ^ np.uint64(1 << b)) for b in range(WIDTHS[(k + 1) % 5])]
+                    keys += [base | (following ^ np.uint64(1 << b)) for b in range(wide[after])]
             yield pa.RecordBatch.from_pydict({
                 "key": pa.array(np.concatenate(keys).astype(np.int64)),
                 "print": pa.array(np.tile(prints, len(keys)).view(np.int64)),
@@ -110,13 +121,13 @@ def close(a: np.ndarray, b: np.ndarray, start: np.ndarray, distance: int) -> np.
     """Whether pairs pass the chains from their start segment on, and then the whole distance."""
     apart = a ^ b
     passed = np.ones(len(apart), bool)
-    counts = [np.bitwise_count(s).astype(np.int64) for s in _segments(apart)]
+    counts = [np.bitwise_count(s).astype(np.int64) for s in _segments(apart, distance)]
     counts = np.stack(counts)
     total = np.zeros(len(apart), np.int64)
     here = np.arange(len(apart))
-    for length in range(1, 5):
-        total += counts[(start + length - 1) % 5, here]
-        passed &= total <= length * distance // 5
+    for length in range(1, len(counts)):
+        total += counts[(start + length - 1) % len(counts), here]
+        passed &= total <= length * distance // len(counts)
     passed[passed] = np.bitwise_count(apart[passed]) <= distance
     return passed
 
@@ -208,10 +219,11 @@ def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
 
 def link_fingerprints(prints: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFrame:
     """(print long), distinct -> (u, v): links that join all fingerprints within the distance."""
-    written = prints.mapInArrow(lambda b: _written(b, False), "key long, print long")
+    widths(distance)  # refuses what has no ring
+    written = prints.mapInArrow(lambda b: _written(b, False, distance), "key long, print long")
     # A key's rows are at most the exact rows of its one-bit neighbours, so only crowded neighbourhoods can be large.
     crowded = (
-        prints.mapInArrow(lambda b: _written(b, True), "key long, print long")
+        prints.mapInArrow(lambda b: _written(b, True, distance), "key long, print long")
         .groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > block // 14)
         .select(F.explode(F.concat(
             F.array("key"), F.transform(F.sequence(F.lit(0), F.lit(12)), lambda b: F.col("key").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
