@@ -72,3 +72,15 @@ def test_held_out_accuracy(spark, sample_dir):
     found = QUERIES["op9_toxicity"].run(spark, sf_dir).join(labels, "doc_id").filter("held_out")
     right = found.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
     assert right >= 0.9
+
+
+def test_an_id_of_many_documents_is_one_row_to_learn_from(spark):
+    rng = random.Random(12)
+    rows = [(0, f"{sentence(rng, 20)} good") for _ in range(3000)] + [(k, f"{sentence(rng, 20)} {'bad' if k % 2 else 'good'}") for k in range(1, 301)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(301)] + [(0, 0)] * 900, "doc_id long, label int")
+    chosen = subword.sample(documents, labels, QUICK).collect()
+    assert len(chosen) == 301 and len({r.doc_id for r in chosen}) == 301 and {r.label for r in chosen} == {0, 1}
+    model = subword.fit(documents, labels, QUICK)
+    scores = {r.doc_id: r.score for r in subword.score(documents.filter("doc_id > 0"), model, QUICK).collect()}
+    assert np.mean([scores[k] for k in range(1, 301, 2)]) > np.mean([scores[k] for k in range(2, 301, 2)]) + 0.3

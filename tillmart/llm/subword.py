@@ -239,16 +239,22 @@ class Scorer:
 
 
 def sample(documents: DataFrame, labels: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
-    """(text, label): the bounded rows to learn from. ``labels`` has doc_id and label 0 or 1."""
+    """(doc_id, text, label): the bounded rows to learn from. ``labels`` has doc_id and label 0 or 1.
+
+    A label counts once for an id, and of an id given to several documents one text is
+    learned from, that of the smallest hash: repeated rows neither fill the sample nor the task.
+    """
     parts = [
-        labels.filter((F.col("label") == value) & F.col("doc_id").isNotNull()).select("doc_id", "label")
+        labels.filter((F.col("label") == value) & F.col("doc_id").isNotNull()).select("doc_id", "label").distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.rows_per_label)
         for value in (0, 1)
     ]
     chosen = stored(parts[0].union(parts[1]), "label-sample")
     texts = documents.select("doc_id", text_of(text).alias("text"))
     texts = texts.filter(F.octet_length("text") <= settings.train_bytes)
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    texts = texts.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("least.text").alias("text"), "label")
 
 
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings, text: str = "text") -> tuple[np.ndarray, float]:
@@ -257,7 +263,6 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings, text: str =
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True)]
         rows.sort(key=lambda r: (r[0], r[2], r[1]))
-        rows = rows[: 4 * settings.rows_per_label]  # an id given to several documents
         model = train([r[1] for r in rows], np.array([r[2] for r in rows], np.int64), settings)
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
