@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, hosts, lines, mixing, quality, sharding, simhash, sketch, toxicity, vectors
+from tillmart.llm import bpe, hosts, lines, mixing, periods, phrases, quality, sharding, simhash, sketch, topk, toxicity, vectors
 from tillmart.llm.common import WORD, held_out, stored, table, text_of
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -197,6 +198,85 @@ select p.page_id, p.host, p.path, fit.rule,
 from p left join fit on p.host = fit.host and p.path = fit.path left join judged on p.host = judged.host
 """
 
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of the run query: of every tenth id, by its checksum, those from some word on repeat with a period."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    period = words[a:a + p]
+    return words[:a] + (period * (-(-(n - a) // p)))[:n - a]
+
+
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(table(spark, sf_dir, "documents"), prepare=planted)
+    # The greatest length / period, compared exactly, and of equal ones the first.
+    better = F.expr("""
+        aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), (best, run) ->
+          case when best is null or cast(run.length as decimal(19,0)) * best.period > cast(best.length as decimal(19,0)) * run.period
+               then run else best end)""")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", better).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        _sha(listed).alias("runs_sha256"), _sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+PHRASES_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase
+  from w, (select unnest(range(1, 6)) as k) where len(ws) >= k),
+f as (select lang, k, phrase, count(*) as f from grams group by all),
+total as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+often as (select * from f where f >= 100),
+cuts as (
+  select lang, phrase, k, f as a, string_split(phrase, ' ') as ws, unnest(range(1, k)) as cut from often where k > 1),
+sized as (
+  select c.lang, c.phrase, c.k, c.a, c.cut, x.f as l, y.f as r, n, (1000::hugeint * c.a * n) // (x.f::hugeint * y.f) as score
+  from cuts c join often x on x.lang = c.lang and x.phrase = array_to_string(c.ws[1:c.cut], ' ')
+  join often y on y.lang = c.lang and y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')
+  join total t on t.lang = c.lang),
+low as (select * from sized qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+kept as (
+  select * from low c where not exists (
+    select 1 from low o where o.lang = c.lang and o.k > c.k and o.a >= c.a
+      and contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+  phrase, a, l, r, n, score::bigint as score
+from kept qualify rank <= 2000
+"""
+
+
+def embedding_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding").filter(finite)
+    rows = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double"))).alias("vector"))
+    return topk.best_products(rows, F.col("vec_id") % 20 == 0)
+
+
+PRODUCTS_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from pairs qualify rank <= 20
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": Query(mixed_sources),
     "op2_bpe": Query(bpe_round_trip),
@@ -208,4 +288,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": Query(site_lines, SITE_LINES_SQL),
     "op9_toxicity": Query(toxicity_scores),
     "op10_url_filter": Query(url_verdicts, URL_SQL),
+    "op11_periods": Query(word_runs),
+    "op12_phrases": Query(phrase_collocations, PHRASES_SQL),
+    "op13_topk": Query(embedding_products, PRODUCTS_SQL),
 }
