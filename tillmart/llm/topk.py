@@ -6,9 +6,10 @@ Vectors are cut into 1, 2, 4, ... segments. With the mean and the deviation of e
 
 for segments of m components, and as |q|^2 and |c|^2 are known, the bound on the
 distance is one on the inner product, (|q|^2 + |c|^2 - bound) / 2. It tightens from
-level to level. In a block, the exact products of the candidates with the best bounds
-at a middle level give each query a score that it surely reaches; from coarse to fine,
-candidates whose bound is below it go, and the rest get their exact product.
+level to level. In a block, the exact products with some of the candidates give each
+query a score that it surely reaches; from coarse to fine, candidates whose bound is
+below it go, and the rest get their exact product. While most are left, bounds and
+products are taken of all pairs at once, which costs less than of single ones.
 
 The queries are a stated set and meet all rows, in blocks: blocks of queries and blocks
 of candidates are dealt to tasks in pairs. A task returns the best of its candidates for
@@ -35,6 +36,8 @@ from tillmart.llm.common import stored
 
 #: Rows of a block of queries and of candidates, and queries that a task takes at a time.
 QUERIES, CANDIDATES, STRIP = 4096, 16384, 128
+#: Candidates that give a query its first score, and pairs whose bounds are taken at a time.
+SAMPLE, PAIRS = 1024, 1 << 16
 #: Slack of the bounds, as a share of the product of both lengths; far above rounding.
 SLACK = 1e-9
 #: Whole numbers below this are exact as doubles.
@@ -56,30 +59,25 @@ def statistics(rows: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([mean, deviation], axis=1) * np.sqrt(np.concatenate([size, size]))
 
 
-def products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Exact inner products, row by row, of whole numbers."""
-    bound = np.abs(queries).max(initial=0).astype(float) * np.abs(candidates).max(initial=0).astype(float) * queries.shape[1]
-    if bound < EXACT:
-        return np.einsum("ij,ij->i", queries.astype(np.float64), candidates.astype(np.float64)).astype(np.int64)
-    return np.einsum("ij,ij->i", queries, candidates)
-
-
-def _surviving(queries: list[np.ndarray], candidates: list[np.ndarray], slack: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose bound reaches the query's score at every level, coarse to fine."""
-    alive, level = np.ones(slack.shape, bool), 0
-    while level < len(queries) and np.count_nonzero(alive) > alive.size / 8:
-        # While most are left, bounds of all pairs at once cost less than of single ones.
-        alive &= queries[level] @ candidates[level].T + slack >= reach[:, None]
-        level += 1
-    q, c = np.nonzero(alive)
-    for k in range(level, len(queries)):
-        upper = np.empty(len(q))
-        for at in range(0, len(q), 1 << 16):
-            some = slice(at, at + (1 << 16))
-            upper[some] = np.einsum("ij,ij->i", queries[k][q[some]], candidates[k][c[some]])
-        stay = upper + slack[q, c] >= reach[q]
-        q, c = q[stay], c[stay]
-    return q, c
+def _surviving(queries: list[np.ndarray], candidates: list[np.ndarray], least: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pairs whose bound reaches the query's least score at every level, coarse to fine; None if most do."""
+    alive, pairs = None, None
+    for q_level, c_level in zip(queries, candidates, strict=True):
+        if pairs is None:
+            # A level that spares nearly all of a few candidates is not worth a look at all of them.
+            few = c_level[::max(1, len(c_level) // SAMPLE)]
+            if np.count_nonzero(q_level @ few.T >= least[:, None]) > 0.9 * len(least) * len(few):
+                continue
+            keep = q_level @ c_level.T >= least[:, None]
+            alive = keep if alive is None else alive & keep
+            if np.count_nonzero(alive) <= alive.size / 8:
+                pairs = np.nonzero(alive)
+        else:
+            q, c = pairs
+            upper = np.concatenate([np.zeros(0)] + [
+                np.einsum("ij,ij->i", q_level[q[at:at + PAIRS]], c_level[c[at:at + PAIRS]]) for at in range(0, len(q), PAIRS)])
+            pairs = q[upper >= least[q]], c[upper >= least[q]]
+    return pairs
 
 
 def best(queries: np.ndarray, candidates: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,24 +85,33 @@ def best(queries: np.ndarray, candidates: np.ndarray, first: int) -> tuple[np.nd
     rows, others = queries.astype(np.float64), candidates.astype(np.float64)
     levels = levels_of(rows.shape[1])
     of_query, of_candidate = ([statistics(x, s) for s in levels] for x in (rows, others))
-    long, longs = np.sqrt((rows * rows).sum(1)), np.sqrt((others * others).sum(1))
-    middle, found = len(levels) // 2, []
+    long, longest = np.sqrt((rows * rows).sum(1)), np.sqrt((others * others).sum(1)).max()
+    # Whole numbers are multiplied as doubles where that is exact.
+    exact = np.abs(rows).max() * np.abs(others).max() * rows.shape[1] < EXACT
+    left, right = (rows, others) if exact else (queries, candidates)
+    some = right[::max(1, len(right) // SAMPLE)]
+    found = []
     for low in range(0, len(rows), STRIP):
         part = slice(low, low + STRIP)
-        reach = np.full(len(rows[part]), -np.inf)
-        if len(others) > first:
-            upper = of_query[middle][part] @ of_candidate[middle].T
-            pick = np.argpartition(-upper, first - 1, axis=1)[:, :first]
-            which = np.repeat(np.arange(len(pick)), first)
-            reach = products(queries[part][which], candidates[pick.ravel()]).reshape(-1, first).min(1).astype(float)
-        slack = SLACK * long[part, None] * longs[None] + SLACK
-        q, c = _surviving([x[part] for x in of_query], of_candidate, slack, reach)
-        score = np.concatenate([np.zeros(0, np.int64)] + [
-            products(queries[part][q[at:at + (1 << 16)]], candidates[c[at:at + (1 << 16)]]) for at in range(0, len(q), 1 << 16)])
+        reach = None
+        pairs = None
+        if len(some) > first:
+            # Every query reaches at least the score of its candidate number ``first`` among some of them.
+            reach = np.partition(left[part] @ some.T, -first, axis=1)[:, -first]
+            slack = SLACK * (long[part] * longest + 1)
+            pairs = _surviving([x[part] for x in of_query], of_candidate, reach - slack)
+        if pairs is None:
+            score = left[part] @ right.T
+            q, c = np.nonzero(score >= reach[:, None]) if reach is not None else np.nonzero(np.ones(score.shape, bool))
+            score = score[q, c]
+        else:
+            q, c = pairs
+            score = np.concatenate([np.zeros(0, left.dtype)] + [
+                np.einsum("ij,ij->i", left[part][q[at:at + PAIRS]], right[c[at:at + PAIRS]]) for at in range(0, len(q), PAIRS)])
         order = np.lexsort((c, -score, q))
         q, c, score = q[order], c[order], score[order]
         stay = np.arange(len(q)) - np.searchsorted(q, q) < first
-        found.append((q[stay] + low, c[stay], score[stay]))
+        found.append((q[stay] + low, c[stay], score[stay].astype(np.int64)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
