@@ -4,9 +4,10 @@ Toivonen's mining. A sample of the documents, at a lowered threshold, proposes t
 frequent phrases. One pass over all documents then counts these and their negative
 border exactly: the border holds each phrase that was not proposed although its first
 and its last words but one both were (every word is in it). A border phrase that turns
-out frequent is a failure of the sample: it is added, and another pass counts what the
-longer border brings, until no border phrase is frequent. Then each frequent phrase has
-been counted over all documents, whatever the sample was.
+out frequent is a failure of the sample: it is added, and an expansion pass counts what
+the longer border brings, with all that might follow from it in turn: a phrase is
+counted if each part is known to be frequent or counted in this pass. So the expansion
+leaves no frequent phrase uncounted, whatever the sample was.
 
 The border is never listed; it would hold the square of the frequent words. What was
 proposed is a bitmap of phrase hashes, at most ``MOST_BITS`` long. A task counts a
@@ -21,6 +22,7 @@ other than the two named are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +34,9 @@ from pyspark.sql.window import Window
 
 from tillmart.llm.common import stored
 
-#: Share of the documents in the sample, and how many deviations its threshold is below the expected count.
-SHARE, DEVIATIONS = 8, 2.5
+#: One document of so many is in the sample; its threshold is so many deviations below the expected count. What a
+#: high threshold misses is a few phrases for the expansion; what a low one proposes makes the border long.
+SHARE, DEVIATIONS = 8, 0.5
 #: Bits of the bitmap for each phrase, and in all: 32 MB.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Bytes of text that a task counts at a time.
@@ -66,60 +69,56 @@ def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def count_chunk(
-    lang: bytes, tokens: list[bytes], longest: int, bits: np.ndarray | None, seen: np.ndarray | None
+    lang: bytes, tokens: list[bytes], longest: int, bits: np.ndarray | None, seen: np.ndarray | None, chain: bool = False
 ) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
     """(number of words, phrases, counts) of the phrases whose parts ``bits`` holds and ``seen`` does not.
 
-    Without bits there are only words to count; with ``seen`` they have been counted.
+    Without bits there are only words to count; with ``seen`` they have been counted, and
+    with ``chain`` a phrase counted here is a part of longer ones as if bits held it.
     """
     numbers: dict[bytes, int] = {b".": 0}
     ids = np.array([numbers.setdefault(t, len(numbers)) for t in tokens], np.int64)
     names = list(numbers)
-    place = np.flatnonzero(ids)
     if seen is None:
         counts = np.bincount(ids, minlength=len(names))
-        yield 0, [b""], np.array([len(place)])
+        yield 0, [b""], counts[1:].sum(keepdims=True)
         yield 1, names[1:], counts[1:]
     if bits is None:
         return
     seed = xxhash.xxh64_intdigest(lang)
     word = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64)[ids]
-    # Of each place: the number and the hash of the phrase that starts there, and whether it is proposed.
-    gram, value = ids.copy(), _longer(np.full(len(ids), seed, np.uint64), word)
+    # Of each place: the hash of the phrase that starts there, and whether longer ones may hold it.
+    value = _longer(np.full(len(ids), seed, np.uint64), word)
     known = _in(bits, value) & (ids != 0)
-    counted = _in(seen, value) & (ids != 0) if seen is not None else None
+    before = _in(seen, value) & (ids != 0) if seen is not None else np.zeros(len(ids), bool)
     for k in range(2, longest + 1):
-        at = np.flatnonzero(known[:-1] & known[1:]) if k == 2 else at[known[at] & known[np.minimum(at + 1, len(known) - 1)]]
+        at = np.flatnonzero(known[:-1] & known[1:])
         at = at[at + k <= len(ids)]
         if not len(at):
             return
-        codes = gram[at] * len(names) + ids[at + k - 1]
-        _, first, number, counts = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
         # Counted by an earlier pass: both parts were reached there by the same steps.
-        old = counted[at] & counted[at + 1] if seen is not None else np.zeros(len(at), bool)
-        fresh = ~old[first]
-        starts = at[first[fresh]].tolist()
-        yield k, [b" ".join(tokens[s:s + k]) for s in starts], counts[fresh]
-        gram[at] = number
+        old = before[at] & before[at + 1]
+        counts = Counter(b" ".join(tokens[s:s + k]) for s in at[~old].tolist())
+        yield k, list(counts), np.fromiter(counts.values(), np.int64, len(counts))
         value[at] = _longer(value[at], word[at + k - 1])
-        known = np.zeros(len(ids), bool)
-        known[at] = _in(bits, value[at])
+        hit = _in(bits, value[at])
+        known, before = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+        known[at] = hit | (chain & ~old)
         if seen is not None:
-            counted = np.zeros(len(ids), bool)
-            counted[at] = old & _in(seen, value[at])
+            before[at] = old & _in(seen, value[at])
 
 
-def _counted(documents: DataFrame, longest: int, bits: np.ndarray | None, seen: np.ndarray | None) -> DataFrame:
+def _counted(documents: DataFrame, longest: int, bits: np.ndarray | None, seen: np.ndarray | None, chain: bool) -> DataFrame:
     """(lang, k, phrase, f) of one pass; with k = 0 the number of all words of a language."""
-    sent = documents.sparkSession.sparkContext.broadcast((bits, seen))
+    sent = documents.sparkSession.sparkContext.broadcast((bits, seen, chain))
     names = ["lang", "k", "phrase", "f"]
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
         for batch in batches:
             waiting: dict[str, list[bytes]] = {}
             size = 0
-            for lang, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = (value.as_py() or "").encode()
+            for lang, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                text = value.as_py() or b""
                 waiting.setdefault(lang, []).append(text)
                 size += len(text)
                 if size >= CHUNK:
@@ -178,21 +177,25 @@ def _room(n_phrases: int, n_bits: int) -> int:
 
 
 def _closed(documents: DataFrame, least: int, longest: int, proposed: DataFrame | None) -> DataFrame:
-    """(lang, k, phrase, f) of the phrases found at least so often, counted in passes until the border holds."""
-    bits, seen, results = None, None, None
+    """(lang, k, phrase, f) of the phrases found at least so often, counted in passes until the border holds.
+
+    Without proposals each pass counts phrases a word longer.
+    """
+    bits, seen, results, chain = None, None, None, False
     if proposed is not None:
         bits = _marked(proposed, _room(proposed.count(), LEAST_BITS))
     while True:
-        counted = _counted(documents, longest, bits, seen).filter((F.col("k") == 0) | (F.col("f") >= least))
+        counted = _counted(documents, longest, bits, seen, chain).filter((F.col("k") == 0) | (F.col("f") >= least))
         counted = stored(counted, "phrase-counts")
         # A pass counts no phrase again; only the first one counts what was proposed.
         fresh = counted.filter((F.col("k") > 0) & (F.col("k") < longest))
         if results is None and proposed is not None:
             fresh = fresh.join(proposed, ["lang", "k", "phrase"], "left_anti")
         results = counted if results is None else results.unionByName(counted)
-        n_fresh = fresh.count()
+        n_fresh = 0 if chain else fresh.count()
         if not n_fresh:
             return results
+        chain = proposed is not None
         seen = np.zeros(LEAST_BITS // 64, np.uint64) if bits is None else bits
         n_bits = _room(n_fresh, len(seen) * 64)
         # A place in a longer bitmap has the same last bits, so copies of the old one answer alike.
