@@ -11,7 +11,8 @@ from pyspark.sql.types import AtomicType, NullType
 _RANK = "_version_rank"
 
 
-def _orderable(df: DataFrame, skip: Sequence[str]) -> list[str]:
+def orderable(df: DataFrame, skip: Sequence[str]) -> list[str]:
+    """Plain columns, which can break ties."""
     return [
         f.name
         for f in df.schema.fields
@@ -36,7 +37,7 @@ def latest_by_key(
     keys = [key] if isinstance(key, str) else list(key)
     versions = [version] if isinstance(version, str) else list(version)
     if ties is None:
-        ties = _orderable(df, [*keys, *versions])
+        ties = orderable(df, [*keys, *versions])
     order = [F.col(f"`{c}`").desc_nulls_last() for c in (*versions, *ties)]
     window = Window.partitionBy(*keys, *within).orderBy(*order)
     ranked = df.withColumn(_RANK, F.row_number().over(window))
@@ -45,7 +46,7 @@ def latest_by_key(
 
 def dedup_by_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per combination of ``columns``, chosen the same way every run."""
-    others = _orderable(df, list(columns))
+    others = orderable(df, list(columns))
     if not others:
         return df.dropDuplicates(list(columns))
     return latest_by_key(df, list(columns), others[0], others[1:])

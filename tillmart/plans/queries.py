@@ -14,12 +14,12 @@ from tillmart.entities import ENTITIES
 from tillmart.functions import moments, numbers, privacy
 from tillmart.functions.keys import key32
 from tillmart.functions.text import GROUP_DROP, LIST_DROP, full_name, tidy, truthy
-from tillmart.operators import envelope, features, mart, monitoring, quality, star
+from tillmart.operators import envelope, features, mart, monitoring, partials, quality, star
 from tillmart.operators.pseudonymise import pseudonymise
 from tillmart.operators.versions import dedup_by_columns, latest_by_key
 from tillmart.plans import jobs, oracle, sample, upkeep
 from tillmart.session import fresh_dir
-from tillmart.sources import documents, messages, sinks
+from tillmart.sources import documents, folders, messages, sinks
 from tillmart.streaming import ingest, windows
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -445,14 +445,9 @@ def _(spark, d):
             F.array(first, F.col("user_id").cast("string")).alias("tags")
         )).alias("doc"),
     )
-    return rows.select(
-        "event_id",
-        envelope.json_path("props", "k").alias("k"),
-        envelope.json_path("props", "k.z").alias("missing"),
-        envelope.json_path("doc", "tags.0").alias("first_tag"),
-        envelope.json_path("doc", "tags.1").alias("second_tag"),
-        envelope.json_path("doc", "tags.2").alias("beyond"),
-    )
+    rows = envelope.json_paths(rows, "props", {"k": "k", "missing": "k.z"})
+    rows = envelope.json_paths(rows, "doc", {"first_tag": "tags.0", "second_tag": "tags.1", "beyond": "tags.2"})
+    return rows.drop("props", "doc")
 
 
 def _flat_names(topic: str) -> list[str]:
@@ -782,7 +777,11 @@ _DIM_KEY = {"purchase_date_sk": "date_sk", "purchase_location_sk": "store_locati
         f"(select 1 from {dim} x where x.{_DIM_KEY.get(key, key)} = f.{key})"
         for label, fact, dim, key in _ORPHANS)))
 def _(spark, d):
-    built = {n: _target(spark, d, n) for n in {x for o in _ORPHANS for x in o[1:3]}}
+    built = {o[1]: _target(spark, d, o[1]) for o in _ORPHANS}
+    for dim in {o[2] for o in _ORPHANS} - set(built):
+        # A key is held whichever version holds it.
+        raw = sample.raw_table(spark, d, mart.TARGETS[dim].source)
+        built[dim] = mart.build_target(dim, raw, AS_OF, True, key32)
     return quality.orphan_report(
         [(label, built[fact], built[dim], key, _DIM_KEY.get(key, key)) for label, fact, dim, key in _ORPHANS]
     )
@@ -932,8 +931,10 @@ def _(spark, d):
     return portable(raw.select("event_time", *_CUSTOMER_NAMES))
 
 
-_STREAMED = ("product_id", "product_name", "product_group", "calories", "price", "expiry_days",
-             "is_organic", "barcode", "updated_at")
+# All columns but the 64-bit keys, which only Spark computes.
+_STREAMED = ("product_id", "product_name", "product_group", "product_description", "calories", "protein", "fat",
+             "carbohydrates", "price", "unit", "origin_country", "expiry_days", "is_organic", "barcode",
+             "created_at", "updated_at")
 
 
 @register("stream_mart_upsert", oracle.with_(
@@ -1005,6 +1006,36 @@ def _(spark, d):
     return portable(windows.read_hourly_counts(spark, f"{root}/rows"))
 
 
+# Fixed values of the split: what comes first, and how long an hour stays open behind the newest row.
+_SPLIT, _DELAY = "2024-01-16 00:00:00", "20 days"
+
+
+@register("stream_window_late_split", f"""
+    with mark as (select max(ts) - interval '{_DELAY}' as mark from events),
+    told as (
+      select event_type, date_trunc('hour', ts) as hour,
+        ts < timestamp '{_SPLIT}' and date_trunc('hour', ts) + interval '1' hour <= mark as late from events, mark)
+    select event_type as "table", {oracle.clock('hour')} as time,
+      count(*) filter (not late) as on_time, count(*) filter (late) as late, count(*) as records
+    from told group by 1, 2""")
+def _(spark, d):
+    """Newer events come first, then the older ones: hours that are final by then take no more rows."""
+    path, root = fresh_dir(spark, "split"), fresh_dir(spark, "split-hours")
+    events = table(spark, d, "events")
+    stream = spark.readStream.schema(events.schema)
+    for part in (F.col("ts") >= F.lit(_SPLIT).cast("timestamp"), F.col("ts") < F.lit(_SPLIT).cast("timestamp")):
+        events.where(part).write.mode("append").parquet(path)
+        windows.start_windows(
+            stream.parquet(path), f"{root}/rows", f"{root}/state", "event_type", "ts", _DELAY
+        ).awaitTermination()
+    on_time = windows.read_closed(spark, f"{root}/rows").unionByName(windows.read_open(spark, f"{root}/rows"))
+    late = windows.hourly_counts(windows.read_late(spark, f"{root}/rows", events.schema), "event_type", "ts")
+    none = F.lit(0).cast("bigint")
+    both = on_time.withColumn("late", none).unionByName(late.select("table", "time", none.alias("records"), F.col("records").alias("late")))
+    sums = both.groupBy("table", "time").agg(F.sum("records").alias("on_time"), F.sum("late").alias("late"))
+    return portable(sums.withColumn("records", F.col("on_time") + F.col("late")))
+
+
 @register("stream_versions_in_one_batch", f"""
     select event_type, {oracle.clock('ts')} as ts, event_id, user_id from (
       select *, row_number() over (partition by event_type order by ts desc, event_id desc) as rn from events)
@@ -1061,25 +1092,51 @@ def _(spark, d):
 
 def _in_batches(spark, d, topic, files=4, with_mart=True) -> str:
     """Ingest target of one topic that arrived in several batches."""
-    log, root = fresh_dir(spark, "log"), fresh_dir(spark, "upkeep")
-    messages.publish_files(sample.envelopes(spark, d, topic).repartition(files), log)
-    jobs.ingest(messages.file_stream(spark, log, 1), root, AS_OF, (topic,), with_mart=with_mart)
+    root = fresh_dir(spark, "upkeep")
+    messages.publish_files(sample.envelopes(spark, d, topic).repartition(files), f"{root}/log")
+    _ingest_more(spark, root, topic, with_mart)
     return root
 
 
+def _ingest_more(spark, root, topic, with_mart=True) -> None:
+    """Takes what has come into the log since; one file is one batch."""
+    jobs.ingest(messages.file_stream(spark, f"{root}/log", 1), root, AS_OF, (topic,), with_mart=with_mart)
+
+
 @register("compact_versions", oracle.with_(
     {"dim_product": oracle.current_sql("dim_product")},
     f"select {', '.join(_STREAMED)}, 1 as batches from dim_product"))
 def _(spark, d):
-    """Versions of several batches merged at rest; one batch is left."""
+    """Versions of several batches merged at rest; one generation of them is left."""
     root = _in_batches(spark, d, "products")
     upkeep.compact_versions(spark, root, "dim_product", AS_OF)
     layout = ingest.Layout(root)
     left = len(upkeep.partition_values(spark, layout.mart("dim_product"), "batch_id"))
+    left += len(upkeep.partition_values(spark, layout.merged("dim_product"), "merged_upto"))
     rows = ingest.read_versions(spark, layout, "dim_product", AS_OF).select(*_STREAMED)
     return portable(rows).withColumn("batches", F.lit(left))
 
 
+@register("compact_versions_replayed", oracle.with_(
+    {"dim_product": oracle.current_sql("dim_product")},
+    f"select {', '.join(_STREAMED)}, 2 as parts from dim_product"))
+def _(spark, d):
+    """The stream stops before it commits its last batch, and replays it after the merge.
+
+    The replayed batch lies beside the generation that covers it, and no row is lost or twice.
+    """
+    root = _in_batches(spark, d, "products")
+    layout = ingest.Layout(root)
+    last = max(upkeep.partition_values(spark, layout.mart("dim_product"), "batch_id"))
+    upkeep.compact_versions(spark, root, "dim_product", AS_OF)
+    upkeep.delete(spark, f"{layout.checkpoint}/commits/{last}")
+    _ingest_more(spark, root, "products")
+    parts = len(upkeep.partition_values(spark, layout.mart("dim_product"), "batch_id"))
+    parts += len(upkeep.partition_values(spark, layout.merged("dim_product"), "merged_upto"))
+    rows = ingest.read_versions(spark, layout, "dim_product", AS_OF).select(*_STREAMED)
+    return portable(rows).withColumn("parts", F.lit(parts))
+
+
 @register("apply_retention", oracle.with_(oracle.raw_ctes("raw_purchases"), f"""
     select purchase_id, {oracle.clock('event_time')} as event_time from raw_purchases
     where event_time >= {NOW} - interval '45' day"""))
@@ -1090,6 +1147,52 @@ def _(spark, d):
     return portable(ingest.read_raw(spark, ingest.Layout(root), "purchases").select("purchase_id", "event_time"))
 
 
+@register("apply_retention_resumed", oracle.with_(oracle.raw_ctes("raw_purchases"), f"""
+    select purchase_id, {oracle.clock('event_time')} as event_time, count(*) as copies from (
+      select * from raw_purchases union all select * from raw_purchases where purchase_id like '%7')
+    where event_time >= {NOW} - interval '45' day group by all"""))
+def _(spark, d):
+    """Retention fails while it swaps folders, more messages come, and the job is repeated."""
+    root = _in_batches(spark, d, "purchases", with_mart=False)
+    lost = []
+
+    def failing(session, path):
+        lost.extend([path] if "batch_id=" in path else [])
+        if len(lost) == 2:  # one folder is swapped, the next one half
+            raise OSError("lost")
+        folders.delete(session, path)
+
+    upkeep.delete = failing
+    try:
+        upkeep.apply_retention(spark, root, AS_OF, 45, ("purchases",))
+    except OSError:
+        pass
+    finally:
+        upkeep.delete = folders.delete
+    again = sample.envelopes(spark, d, "purchases")
+    again = again.where(F.get_json_object("json_data", "$.purchase_id").endswith("7"))
+    messages.publish_files(again.coalesce(1), f"{root}/log")
+    _ingest_more(spark, root, "purchases", with_mart=False)
+    upkeep.apply_retention(spark, root, AS_OF, 45, ("purchases",))
+    rows = ingest.read_raw(spark, ingest.Layout(root), "purchases")
+    return portable(rows.groupBy("purchase_id", "event_time").agg(F.count("*").alias("copies")))
+
+
+# Purchases from this day on, and those of one earlier month whose number ends in 7, come late.
+_LATE = "raw_event_time >= '1998-03-01' or (purchase_id like '%7' and date_trunc('month', raw_event_time) = '1995-05-01')"
+
+
+@register("features_incremental", oracle.features_sql("item", features.DEFAULTS))
+def _(spark, d):
+    """The feature table from daily partials: a first run, late purchases, and a run of the months they change."""
+    tables, path = sample.mart_tables(spark, d), fresh_dir(spark, "partials")
+    late = F.coalesce(F.expr(_LATE), F.lit(False))
+    partials.refresh(tables | {"purchases": tables["purchases"].where(~late)}, path)
+    months = partials.changed_months(tables["purchases"].where(late))
+    partials.refresh(tables, path, months)
+    return portable(partials.features_from_partials(spark, path, tables, AS_OF))
+
+
 def _mart_stats_sql() -> str:
     parts = []
     for name, target in mart.TARGETS.items():

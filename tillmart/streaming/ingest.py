@@ -20,11 +20,12 @@ from tillmart.entities import ENTITIES
 from tillmart.operators.envelope import flat_columns, flatten, open_envelopes, with_month
 from tillmart.operators.mart import TARGETS, build_target, current
 from tillmart.operators.versions import latest_by_key
+from tillmart.sources.folders import complete, partition_values
 from tillmart.sources.messages import ENVELOPE
 from tillmart.sources.sinks import read_batch, read_batches, write_batch
 
 DEAD_LETTERS = "dead_letters"
-_DEAD_SCHEMA = StructType(
+DEAD_SCHEMA = StructType(
     [StructField(n, StringType()) for n in ("topic", "json_data", "event_time", "reject_reason")]
 )
 
@@ -41,6 +42,9 @@ class Layout:
     def mart(self, target: str) -> str:
         return f"{self.root}/mart/{target}"
 
+    def merged(self, target: str) -> str:
+        return f"{self.root}/merged/{target}"
+
     @property
     def dead(self) -> str:
         return f"{self.root}/{DEAD_LETTERS}"
@@ -67,15 +71,33 @@ def read_raw(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
 
 
 def read_dead_letters(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_batches(spark, layout.dead, _DEAD_SCHEMA)
+    return read_batches(spark, layout.dead, DEAD_SCHEMA)
+
+
+def merged_upto(spark: SparkSession, layout: Layout, name: str) -> int | None:
+    """The newest batch that the newest complete generation of merged versions covers."""
+    path = layout.merged(name)
+    for newest in reversed(partition_values(spark, path, "merged_upto")):
+        if complete(spark, f"{path}/merged_upto={newest}"):
+            return newest
+    return None
 
 
 def read_versions(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFrame:
-    """All stored versions of one mart target, with their batch."""
+    """All versions of one mart target that count, with their batch.
+
+    These are the newest generation of merged versions and the batches after it.
+    """
     source = TARGETS[name].source
     empty = spark.createDataFrame([], raw_schema(spark, source))
     schema = build_target(name, empty, as_of, by_event_time=True).schema
-    return read_batches(spark, layout.mart(name), schema)
+    batches = read_batches(spark, layout.mart(name), schema)
+    last = merged_upto(spark, layout, name)
+    if last is None:
+        return batches
+    merged = spark.read.schema(schema).parquet(f"{layout.merged(name)}/merged_upto={last}")
+    merged = merged.withColumn("batch_id", F.lit(last).cast("bigint"))
+    return merged.unionByName(batches.where(F.col("batch_id") > last))
 
 
 def read_mart(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFrame:
@@ -118,19 +140,20 @@ def ingest_batch(
 def cascade_batch(
     spark: SparkSession, batch_id: int, layout: Layout, as_of, topics: Iterable[str]
 ) -> None:
-    """Derives the mart versions of one batch from its written raw rows."""
-    batches = {
-        topic: read_batch(
-            spark, layout.raw(topic), raw_schema(spark, topic), batch_id, ("event_month",)
-        )
-        for topic in topics
-    }
-    for name, target in TARGETS.items():
-        if target.source not in batches:
+    """Derives the mart versions of one batch from its written raw rows.
+
+    A topic is read once, whatever number of targets it feeds.
+    """
+    for topic in topics:
+        fed = [name for name, target in TARGETS.items() if target.source == topic]
+        if not fed:
             continue
-        raw = batches[target.source]
-        versions = build_target(name, raw, as_of, by_event_time=True)
-        write_batch(versions, layout.mart(name), batch_id)
+        raw = read_batch(spark, layout.raw(topic), raw_schema(spark, topic), batch_id, ("event_month",)).persist()
+        try:
+            for name in fed:
+                write_batch(build_target(name, raw, as_of, by_event_time=True), layout.mart(name), batch_id)
+        finally:
+            raw.unpersist()
 
 
 def start_ingest(

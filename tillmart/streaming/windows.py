@@ -1,21 +1,23 @@
-"""Hourly counts and duplicate-tolerant ingest as streams that lose no late row.
+"""Hourly counts, duplicate-tolerant ingest and alerts as streams that lose no late row.
 
-Neither keeps watermarked state. A batch writes its own rows under its own
-``batch_id``; what batches have in common is settled on reading (hourly counts)
-or against the written keys (repeats). A replayed batch replaces its output.
+A batch costs what it brings, however long the history is. What must be known of earlier
+batches is keyed state in Spark's state store (which keys have come), or the few rows
+that the batch before left in its own folder (running totals, open windows). A replayed
+batch starts from the same state and replaces its output.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tillmart.functions.numbers import percent
 from tillmart.operators.quality import duplicate_alerts
-from tillmart.operators.versions import latest_by_key
-from tillmart.sources.sinks import read_batches, write_batch
+from tillmart.operators.versions import latest_by_key, orderable
+from tillmart.sources.folders import partition_values
+from tillmart.sources.sinks import read_batch, read_batches, write_batch
 
 _HOURLY = StructType(
     [
@@ -53,29 +55,46 @@ def read_hourly_counts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+_ROW, _NEW_KEY = 0, 1
+
+
+def _with_new_keys(events: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """All rows of a stream as (kind, row), and a line of another kind for each key that has not come before.
+
+    The keys, and nothing else, are state; rows whose last key column is missing bring none.
+    """
+    named = [value.alias(name) for name, value in keys.items()]
+    rows = events.select(F.lit(_ROW).alias("kind"), *named, F.struct(*events.columns).alias("row"))
+    fresh = events.select(*named).dropna(subset=[*keys][-1:]).dropDuplicates(list(keys))
+    return rows.unionByName(fresh.withColumn("kind", F.lit(_NEW_KEY)), allowMissingColumns=True)
+
+
 def start_unique(
     events: DataFrame, path: str, checkpoint: str, key: str, version: str,
     once: bool = True, every: str = "30 seconds",
 ) -> StreamingQuery:
     """Stores the first row of every key, however late its repeats come.
 
-    Repeats inside a batch are reduced map-side. Keys of earlier batches are
-    read from the store, that column only. Rows without a key all stay.
+    Of the rows of a key that share its first batch the newest version is stored, chosen
+    map-side. Which keys have come is state. Rows without a key all stay.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = read_batches(spark, path, events.schema).where(F.col("batch_id") < batch_id)
-        known = earlier.select(F.col(key).alias("_known"))
-        single = latest_by_key(batch.where(F.col(key).isNotNull()), key, version)
-        fresh = single.join(known, F.col(key) == F.col("_known"), "left_anti")
-        write_batch(fresh.unionByName(batch.where(F.col(key).isNull())), path, batch_id)
+        kept = batch.persist()
+        try:
+            fresh = kept.where(F.col("kind") == _NEW_KEY).select("_key")
+            rows = kept.where(F.col("kind") == _ROW).select("_key", "row.*")
+            single = latest_by_key(rows.where("_key is not null"), "_key", version, ties=orderable(events, [version]))
+            first = single.join(fresh, "_key", "left_semi")
+            write_batch(first.unionByName(rows.where("_key is null")).drop("_key"), path, batch_id)
+        finally:
+            kept.unpersist()
 
-    return _start(events, handle, checkpoint, once, every)
+    return _start(_with_new_keys(events, {"_key": F.col(key)}), handle, checkpoint, once, every)
 
 
-_KEY_COUNTS = StructType(
-    [StructField("table", StringType()), StructField("key", StringType()), StructField("n", LongType())]
+_TOTALS = StructType(
+    [StructField("table", StringType()), StructField("n", LongType()), StructField("keys", LongType())]
 )
 
 
@@ -85,30 +104,91 @@ def start_alerts(
 ) -> StreamingQuery:
     """Evaluates the duplicate alerts after every batch; read with :func:`read_alerts`.
 
-    A batch stores its rows per key; the alerts look at the keys of all batches.
+    Running totals, one row for each table: the totals that the batch before left, and
+    the rows and new keys of this one. Which keys have come is state.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = batch.groupBy(F.col(table).alias("table"), F.col(key).cast("string").alias("key")).agg(
-            F.count(F.lit(1)).alias("n")
+        brought = batch.groupBy("table").agg(
+            F.count_if(F.col("kind") == _ROW).alias("n"), F.count_if(F.col("kind") == _NEW_KEY).alias("keys")
         )
-        write_batch(counts, f"{path}/counts", batch_id)
-        stored = read_batches(spark, f"{path}/counts", _KEY_COUNTS).where(F.col("batch_id") <= batch_id)
-        per_key = stored.groupBy("table", "key").agg(F.sum("n").alias("n"))
-        surplus = F.sum("n") - F.count("key")
-        stats = per_key.groupBy("table").agg(percent(surplus, F.sum("n")).alias("duplicate_percent"))
+        before = read_batch(spark, f"{path}/totals", _TOTALS, batch_id - 1).drop("batch_id")
+        totals = before.unionByName(brought).groupBy("table").agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"))
+        write_batch(totals, f"{path}/totals", batch_id)
+        totals = read_batch(spark, f"{path}/totals", _TOTALS, batch_id)
+        stats = totals.select("table", percent(F.col("n") - F.col("keys"), F.col("n")).alias("duplicate_percent"))
         write_batch(duplicate_alerts(stats), f"{path}/alerts", batch_id)
 
-    return _start(events, handle, checkpoint, once, every)
+    lines = _with_new_keys(events.select(table, key), {"table": F.col(table), "key": F.col(key).cast("string")})
+    return _start(lines.drop("row"), handle, checkpoint, once, every)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """Alerts as of the newest batch that counted anything."""
-    last = read_batches(spark, f"{path}/counts", _KEY_COUNTS).agg(F.max("batch_id")).first()[0]
+    """Alerts as of the newest batch."""
+    last = max(partition_values(spark, f"{path}/totals", "batch_id"), default=-1)
     schema = duplicate_alerts(spark.createDataFrame([], "table string, duplicate_percent double")).schema
-    alerts = read_batches(spark, f"{path}/alerts", schema)
-    return alerts.where(F.col("batch_id") == F.lit(last)).drop("batch_id")
+    return read_batch(spark, f"{path}/alerts", schema, last).drop("batch_id")
+
+
+_OPEN = StructType([*_HOURLY.fields, StructField("newest", TimestampNTZType())])
+
+
+def start_windows(
+    events: DataFrame, path: str, checkpoint: str, table: str, column: str, delay: str = "1 hour",
+    once: bool = True, every: str = "30 seconds",
+) -> StreamingQuery:
+    """Hourly counts that become final, with late rows set aside.
+
+    The watermark of a batch is the newest time of all batches before it less ``delay``.
+    An hour that ends at or before it is final: its count is written once, below
+    ``closed``, and rows that still come for it go as they are to ``late``. Counts of
+    hours that may still grow are carried from batch to batch, with the newest time. A
+    row whose time is missing belongs to no hour and is late. Closed, open and late rows
+    together are all rows.
+    """
+    lag = F.expr(f"interval '{delay}'")
+    hour = F.date_trunc("hour", F.col(column)).cast("timestamp_ntz")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.persist()
+        try:
+            before = read_batch(spark, f"{path}/open", _OPEN, batch_id - 1).drop("batch_id")
+            reached = before.agg(F.max("newest")).first()[0]
+            mark = F.lit(None if reached is None else str(reached)).cast("timestamp_ntz") - lag
+            late = F.coalesce(F.col(column).isNull() | (hour + F.expr("interval 1 hour") <= mark), F.col(column).isNull())
+            write_batch(kept.where(late), f"{path}/late", batch_id)
+            counts = hourly_counts(kept.where(~late), table, column)
+            newest = kept.agg(F.max(column).cast("timestamp_ntz").alias("newest"))
+            newest = newest.select(F.lit(None).cast("string").alias("table"), F.lit(None).cast("timestamp_ntz").alias("time"),
+                                   F.lit(None).cast("bigint").alias("records"), "newest")
+            found = before.unionByName(counts, allowMissingColumns=True).unionByName(newest)
+            # The line without an hour carries the newest time alone.
+            found = found.groupBy("table", "time").agg(F.sum("records").alias("records"), F.max("newest").alias("newest"))
+            done = F.coalesce(F.col("time") + F.expr("interval 1 hour") <= mark, F.lit(False))
+            write_batch(found.where(~done), f"{path}/open", batch_id)
+            write_batch(found.where(done).drop("newest"), f"{path}/closed", batch_id)
+        finally:
+            kept.unpersist()
+
+    return _start(events, handle, checkpoint, once, every)
+
+
+def read_closed(spark: SparkSession, path: str) -> DataFrame:
+    """Final counts; each hour of a table stands once."""
+    return read_batches(spark, f"{path}/closed", _HOURLY).drop("batch_id")
+
+
+def read_open(spark: SparkSession, path: str) -> DataFrame:
+    """Counts that may still grow, as of the newest batch."""
+    last = max(partition_values(spark, f"{path}/open", "batch_id"), default=-1)
+    return read_batch(spark, f"{path}/open", _OPEN, last).where("records is not null").select(*_HOURLY.names)
+
+
+def read_late(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows that came after their hour was final."""
+    return read_batches(spark, f"{path}/late", schema).drop("batch_id")
 
 
 def _start(events: DataFrame, handle, checkpoint: str, once: bool, every: str) -> StreamingQuery:
