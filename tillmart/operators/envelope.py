@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -151,6 +153,24 @@ def json_path(column: str, path: str, default: str = "") -> Column:
     return F.coalesce(F.get_json_object(column, f"${steps}"), F.lit(default))
 
 
+def json_paths(rows: DataFrame, column: str, paths: Mapping[str, str], default: str = "") -> DataFrame:
+    """Adds a column for each path of :func:`json_path`; a text is parsed once for all of them.
+
+    The parse is a column of its own, so that Spark does not repeat it for each path.
+    A text that is not JSON has no paths.
+    """
+    parsed = rows.withColumn("_parsed", F.try_parse_json(column))
+    found = {
+        name: F.coalesce(F.try_variant_get("_parsed", _variant_path(path), "string"), F.lit(default))
+        for name, path in paths.items()
+    }
+    return parsed.withColumns(found).drop("_parsed")
+
+
+def _variant_path(path: str) -> str:
+    return "$" + "".join(f"[{p}]" if p.isdigit() else f'["{p}"]' for p in path.split("."))
+
+
 def parallel_arrays(raw: DataFrame, column: str = "items") -> DataFrame:
     """Array of structs as parallel arrays named ``items.field``."""
     fields = raw.schema[column].dataType.elementType.fieldNames()

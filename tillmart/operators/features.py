@@ -122,10 +122,10 @@ def fold_lines(items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def _header_sums(settings: FeatureSettings, weight: Column) -> dict[str, Column]:
-    """Additive header measures, each header counted ``weight`` times."""
+def plain_sums(settings: FeatureSettings, weight: Column) -> dict[str, Column]:
+    """Additive header measures of any time, each header counted ``weight`` times."""
     amount, items_count = F.col("total_amount"), F.col("items_count")
-    hour, age = F.col("_hour"), F.col("_age")
+    hour = F.col("_hour")
     method = F.col("payment_method")
     decimal_weight = weight.cast("decimal(18,0)")
     return {
@@ -144,16 +144,29 @@ def _header_sums(settings: FeatureSettings, weight: Column) -> dict[str, Column]
             (hour >= settings.lunch_start) & (hour < settings.lunch_end), weight
         ),
         "single_item_purchases": _total(items_count == 1, weight),
-        "spent_last_7d": _total(
-            _age_test(settings, age, settings.week_days), amount * decimal_weight
-        ),
-        "purchases_last_14d": _total(
-            _age_test(settings, age, settings.fortnight_days), weight
-        ),
-        "purchases_last_30d": _total(_age_test(settings, age, settings.month_days), weight),
     }
 
 
+def aged_sums(settings: FeatureSettings, spent: Column, rows: Column) -> dict[str, Column]:
+    """Header measures of the last days, over what was spent and how many rows there were."""
+    age = F.col("_age")
+    return {
+        "spent_last_7d": _total(_age_test(settings, age, settings.week_days), spent),
+        "purchases_last_14d": _total(_age_test(settings, age, settings.fortnight_days), rows),
+        "purchases_last_30d": _total(_age_test(settings, age, settings.month_days), rows),
+    }
+
+
+def _header_sums(settings: FeatureSettings, weight: Column) -> dict[str, Column]:
+    spent = F.col("total_amount") * weight.cast("decimal(18,0)")
+    return plain_sums(settings, weight) | aged_sums(settings, spent, weight)
+
+
+def aged_lines(settings: FeatureSettings, count: Column) -> dict[str, Column]:
+    """Lines of the last days, for each window of days."""
+    return {f"_lines_{w}": _total(_age_test(settings, F.col("_age"), d), count) for w, d in settings.windows.items()}
+
+
 def _header_branch(headers: DataFrame, stores: DataFrame, settings, with_sums: bool) -> DataFrame:
     """Per customer: purchase count, first and last time, stores, locations."""
     sums = _header_sums(settings, F.lit(1)) if with_sums else {}
@@ -163,6 +176,11 @@ def _header_branch(headers: DataFrame, stores: DataFrame, settings, with_sums: b
         F.max("raw_event_time").alias("last_purchase_date"),
         *[v.alias(k) for k, v in sums.items()],
     )
+    return from_stores(per_store, stores, list(sums))
+
+
+def from_stores(per_store: DataFrame, stores: DataFrame, sums: list[str]) -> DataFrame:
+    """(customer, store) rows to one row per customer."""
     located = per_store.join(
         stores.select("store_id", "store_location_sk"), "store_id", "left"
     )
@@ -178,12 +196,11 @@ def _header_branch(headers: DataFrame, stores: DataFrame, settings, with_sums: b
 
 def _line_branch(headers: DataFrame, lines: DataFrame, settings, with_sums: bool) -> DataFrame:
     """Per customer: category counts by age, organic lines, distinct groups."""
-    age, count = F.col("_age"), F.coalesce("_lines", F.lit(0))
+    count = F.coalesce("_lines", F.lit(0))
     sums = (
         _header_sums(settings, F.greatest(count, F.lit(1))) if with_sums else {}
     )
-    aged = {f"_lines_{w}": _total(_age_test(settings, age, d), count)
-            for w, d in settings.windows.items()}
+    aged = aged_lines(settings, count)
     per_group = (
         headers.join(lines, "purchase_id", "left")
         .groupBy("customer_id", "product_group")
@@ -194,6 +211,11 @@ def _line_branch(headers: DataFrame, lines: DataFrame, settings, with_sums: bool
             *[v.alias(k) for k, v in sums.items()],
         )
     )
+    return from_groups(per_group, settings, list(sums))
+
+
+def from_groups(per_group: DataFrame, settings: FeatureSettings, sums: list[str]) -> DataFrame:
+    """(customer, product group) rows to one row per customer."""
     group = F.col("product_group")
     tests = {name: in_category(group, getattr(settings, name)) for name in _CATEGORY_WINDOWS}
     categories = {
@@ -259,6 +281,11 @@ def customer_metrics(
         plain if weighted else dated, tables["stores"], settings, not weighted
     )
     by_line = _line_branch(dated if weighted else plain, lines, settings, weighted)
+    return joined_metrics(by_header, by_line)
+
+
+def joined_metrics(by_header: DataFrame, by_line: DataFrame) -> DataFrame:
+    """The metrics of a customer from both branches."""
     joined = by_header.join(by_line, "customer_id")
     cart = (F.col("total_spent") / F.nullif("amount_rows", F.lit(0))).cast("decimal(24,6)")
     items = F.try_divide(F.col("items_total").cast("double"), F.col("items_rows"))
@@ -365,7 +392,14 @@ def customer_features(
     the condition cannot be evaluated.
     """
     metrics = customer_metrics(tables, as_of, grain, settings)
-    people = tables["customers"].select(
+    return with_flags(tables["customers"], metrics, as_of, settings, null_as_zero)
+
+
+def with_flags(
+    customers: DataFrame, metrics: DataFrame, as_of, settings: FeatureSettings = DEFAULTS, null_as_zero: bool = False
+) -> DataFrame:
+    """The feature row of every customer from the metrics of those with purchases."""
+    people = customers.select(
         "customer_id", "customer_sk", "registration_date", "is_loyalty_member"
     )
     rows = people.join(metrics, "customer_id", "left")

@@ -106,11 +106,11 @@ def orphans(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None
     return facts.where(F.col(fact_key).isNotNull()).join(known, fact_key, "left_anti")
 
 
-def _stacked(frame: DataFrame, entries: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row per (label, key column) and row of the frame, NULL keys left out."""
+def _stacked(frame: DataFrame, entries: Sequence[tuple[int, int, str]]) -> DataFrame:
+    """One row per (dimension, check, key column) and row of the frame, NULL keys left out."""
     pairs = [
-        F.struct(F.lit(label).alias("label"), F.col(key).cast("bigint").alias("key"))
-        for label, key in entries
+        F.struct(F.lit(dim).alias("dim"), F.lit(check).alias("check"), F.col(key).cast("bigint").alias("key"))
+        for dim, check, key in entries
     ]
     return frame.select(F.inline(F.array(*pairs))).where(F.col("key").isNotNull())
 
@@ -120,32 +120,32 @@ def orphan_report(
 ) -> DataFrame:
     """Orphan rows and keys per ``(name, facts, dim, fact_key, dim_key)``.
 
-    Each fact and each dimension is read once, with all its keys stacked. Keys are
-    counted map-side before the one anti join, so a hot key is one row there.
+    Each frame is read once, whatever its parts: the keys it refers to and those it
+    holds are stacked together. One aggregation by key, map-side first, tells which keys
+    are held and how often each check uses them, so a hot key is one row a task.
     """
-    facts, dims, dim_of = {}, {}, {}
-    for name, fact, dim, fact_key, dim_key in checks:
-        facts.setdefault(id(fact), (fact, []))[1].append((name, fact_key))
-        place = dims.setdefault((id(dim), dim_key), (dim, len(dims)))[1]
-        dim_of[name] = f"{dim_key} {place}"
-    used = _union([_stacked(frame, entries) for frame, entries in facts.values()])
-    counted = used.groupBy(F.col("label").alias("check"), "key").agg(F.count(F.lit(1)).alias("_n"))
-    target = F.create_map(*[F.lit(x) for pair in dim_of.items() for x in pair])
-    by_dim: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
-    for (frame_id, dim_key), (dim, place) in dims.items():
-        by_dim.setdefault(frame_id, (dim, []))[1].append((f"{dim_key} {place}", dim_key))
-    known = _union([_stacked(frame, entries) for frame, entries in by_dim.values()])
-    missing = counted.withColumn("label", target[F.col("check")]).join(
-        known, ["label", "key"], "left_anti"
-    )
-    none = F.array(*[F.lit(name) for name in dim_of])
-    spark = checks[0][1].sparkSession
-    zero = spark.range(1).select(F.explode(none).alias("check"), F.lit(0).cast("bigint").alias("_n"))
-    return (
-        missing.select("check", "_n").unionByName(zero)
-        .groupBy("check")
-        .agg(F.sum("_n").alias("orphan_rows"), F.count_if(F.col("_n") > 0).alias("orphan_keys"))
-    )
+    held = -1
+    entries: dict[int, tuple[DataFrame, list[tuple[int, int, str]]]] = {}
+    dims: dict[tuple[int, str], int] = {}
+    for place, (_, fact, dim, fact_key, dim_key) in enumerate(checks):
+        known = (id(dim), dim_key)
+        if known not in dims:
+            dims[known] = len(dims)
+            entries.setdefault(id(dim), (dim, []))[1].append((dims[known], held, dim_key))
+        entries.setdefault(id(fact), (fact, []))[1].append((dims[known], place, fact_key))
+    stacked = _union([_stacked(frame, of) for frame, of in entries.values()])
+    used = [F.count_if(F.col("check") == place).alias(f"n{place}") for place in range(len(checks))]
+    keys = stacked.groupBy("dim", "key").agg(F.bool_or(F.col("check") == held).alias("held"), *used)
+    missing = keys.where(~F.col("held")).agg(*[
+        f(F.col(f"n{place}")).alias(f"{kind}{place}")
+        for place in range(len(checks))
+        for kind, f in (("rows", lambda n: F.coalesce(F.sum(n), F.lit(0))), ("keys", lambda n: F.count_if(n > 0)))
+    ])
+    lines = [
+        F.struct(F.lit(name).alias("check"), F.col(f"rows{place}").alias("orphan_rows"), F.col(f"keys{place}").alias("orphan_keys"))
+        for place, (name, *_) in enumerate(checks)
+    ]
+    return missing.select(F.inline(F.array(*lines)))
 
 
 def key_collisions(df: DataFrame, surrogate: str, natural: Sequence[str]) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,10 @@ _SESSION_DEFAULTS = {
     # HotSpot never compiles methods above 8000 bytes of bytecode. Wide cleaning
     # projections exceed that, and run faster as split, non-fused projections.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Keyed state of streams lives on disk, not on the heap, and only changes are stored.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Call-site capture doubles the time to build wide plans from Python.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Keeps HMAC pads (64-byte binary literals) out of printed plans.
@@ -39,6 +45,18 @@ def build_session(app: str = "tillmart", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Sends this package to the executors, where it is not installed; path of the archive.
+
+    Needed when Python workers start in another folder: the training-data operators run
+    functions of the package there. Spark copies the archive to every executor.
+    """
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tillmart-')}/tillmart", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 _local_dirs: dict[str, str] = {}
 
 
