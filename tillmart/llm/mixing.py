@@ -6,18 +6,25 @@ measured in the unit of ``size``, moves at random from one document to the other
 one of the two fractions is 0 or 1. Expectations stay, and so does the sum of the
 sizes taken, so a source misses its target only by the rounding of one last document.
 
-All documents of a source start with one fraction, so inside a hashed block a document
-is first paired with all later documents of the block as one unit, largest documents
-first: it becomes 0 or 1 and the unit's common fraction moves the other way. What a
-block leaves open, as a rule a small document, goes up a reduction tree with ``FAN``
-blocks to a node, is paired there document by document as a stream, until one document
-of each source is left and is rounded alone. A hot source has more blocks, not larger
-ones. Randomness is a hash of the row, so reruns agree, and each level is written to
-the shared folder.
+All documents of a source start with one fraction, so a document can be paired with a
+unit of others that share theirs: it becomes 0 or 1 and the unit's common fraction
+moves the other way. A source is a tree of hashed blocks, ``FAN`` to a node. From the
+root down, the documents that are too large for the levels below, largest first, are
+paired with all the rest of their node, so the whole source offsets its largest ones
+and a block never holds one that outweighs it; the fraction that is left is that of the
+nodes below. In a block each document is paired with the later, smaller ones. What a
+block leaves open, as a rule a small document, goes up the same tree, is paired there
+document by document as a stream, until one document of each source is left and is
+rounded alone. A hot source has more blocks, not larger ones. Randomness is a hash of
+the row, so reruns agree, and each level is written to the shared folder.
+
+A document that outweighs all others of its source together cannot be offset: then the
+mass of the others goes to it or comes from it as far as it reaches, which keeps the
+words taken as near to the target as they can be, and ties the fate of the others.
 
 Defined cases: a missing source is a source of its own, last in order; documents of
 size 0 take no mass and are rounded each for itself; sources of size 0 have target 0;
-a missing size is 0; rows with equal ids are separate documents, identical rows are
+a missing size is 0; texts of any length count as a whole, by their size; rows with equal ids are separate documents, identical rows are
 interchangeable; other columns are kept, the result columns replace equal names.
 """
 
@@ -35,6 +42,8 @@ from tillmart.llm.common import stored
 
 #: Rows of a block on the lowest level, and blocks of a node on the levels above.
 ROWS, FAN = 256, 64
+#: A document stays below a node of which it would be more than this share, as one of so many.
+SHARE = 8
 TINY = 1e-12
 
 
@@ -186,6 +195,38 @@ def _pivotal(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.Recor
         yield _rounded(held, [int(last and open_last < open_p)], [0.0 if last else open_p])
 
 
+def _nullable(frame: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in frame.schema.fields])
+
+
+def _node(level: int, block: str = "_block") -> Column:
+    return F.floor(F.col(block) / FAN ** level)
+
+
+def _from_the_root(rows: DataFrame, top: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """Rounds the documents of the levels above the blocks; those, and (place, block, p) of the blocks below."""
+    sums = stored(rows.groupBy("_place", "_block", "_level").agg(F.sum("_size").alias("_sum"), F.first("_p").alias("_p")), "mixing-sums")
+    large = stored(rows.filter(F.col("_level") > 0), "mixing-large")
+    done, fractions = [], sums.groupBy("_place", "_block").agg(F.first("_p").alias("_now"))
+    for level in range(top, 0, -1):
+        total = sums.filter(F.col("_level") <= level).groupBy("_place", _node(level).alias("_node")).agg(F.sum("_sum").alias("_total"))
+        here = large.filter(F.col("_level") == level).withColumnRenamed("_block", "_home")
+        here = here.join(fractions.withColumnRenamed("_block", "_home"), ["_place", "_home"]).withColumn("_p", F.col("_now")).drop("_now")
+        here = here.withColumn("_node", _node(level, "_home")).join(total, ["_place", "_node"]).withColumnRenamed("_node", "_block")
+        here = here.withColumn("_start", F.col("_p"))
+        ordered = here.repartition("_place", "_block").sortWithinPartitions("_place", "_block", F.desc("_size"), "_order")
+        rounded = stored(ordered.mapInArrow(lambda batches: _against_rest(batches, False), _nullable(here)), "mixing-root")
+        mass = F.sum((F.col("_extra") + F.col("_p")) * F.col("_size"))
+        below = F.first("_total") - F.sum("_size")
+        left = rounded.groupBy("_place", F.col("_block").alias("_node")).agg(
+            F.try_divide(F.first("_start") * F.first("_total") - mass, below).alias("_rest"))
+        fractions = fractions.withColumn("_node", _node(level)).join(left, ["_place", "_node"], "left").select(
+            "_place", "_block", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce("_rest", "_now"))), 12).alias("_now"))
+        fractions = stored(fractions, "mixing-fractions")
+        done.append(rounded.drop("_block", "_start", "_total").withColumnRenamed("_home", "_block"))
+    return done, fractions
+
+
 def mix(
     documents: DataFrame, size: Column, source: str = "source", key: str = "doc_id",
     weights: Sequence[int] = (1, 2, 3), most: int = 3,
@@ -198,32 +239,49 @@ def mix(
         source_targets(rows.select(F.col(source).alias("source"), F.col("_size").alias("size")), weights, most), "targets"
     ).withColumnRenamed("source", "_source")
     blocks = max(1, -(-(targets.agg(F.max("n")).first()[0] or 0) // ROWS))  # of the largest source
+    top = 0
+    while FAN ** top < blocks:
+        top += 1
     joined = rows.join(
         targets.select("_source", F.col("place").alias("_place"), F.ceil(F.col("n") / ROWS).alias("_blocks"), "source_size", "target"),
         rows[source].eqNullSafe(targets["_source"]),
     ).drop("_source")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    least = F.greatest(F.col("source_size") / F.col("_blocks") / SHARE, F.lit(1.0))
+    above = F.when(F.col("_size") <= least, 0).otherwise(F.ceil(F.log(F.col("_size") / least) / float(np.log(FAN))))
     hashed = [F.col(c) for c in dict.fromkeys((key, source))] + [F.col("_size")]
     level = (
         joined.withColumn("_expected", expected).withColumn("_whole", F.floor("_expected"))
         .withColumn("_p", F.col("_expected") - F.col("_whole")).withColumn("_extra", F.lit(0).cast("long")).drop("_expected")
-        .withColumn("_order", F.xxhash64(*hashed)).withColumn("_block", F.pmod(F.xxhash64("_order", F.lit(1)), F.col("_blocks"))).drop("_blocks")
+        .withColumn("_order", F.xxhash64(*hashed)).withColumn("_block", F.pmod(F.xxhash64("_order", F.lit(1)), F.col("_blocks")))
+        .withColumn("_level", F.least(above, F.lit(top)).cast("int")).drop("_blocks")
         .withColumn("_chance", _uniform(*hashed, F.lit(2))).withColumn("_last", _uniform(*hashed, F.lit(3)))
     )
+    done, opened = [], None
+    if top:
+        above_blocks, fractions = _from_the_root(level, top)
+        level = level.filter(F.col("_level") == 0).join(fractions, ["_place", "_block"]).withColumn("_p", F.col("_now")).drop("_now")
+        columns = level.columns
+        for part in above_blocks:
+            done.append(part.filter(F.col("_p") <= TINY).select(columns))
+            rest = part.filter(F.col("_p") > TINY).select(columns)
+            opened = rest if opened is None else opened.unionByName(rest)
+    columns = level.columns
     dealt = level.repartition("_place", "_block")
     dealt = dealt.withColumn("_total", F.sum("_size").over(Window.partitionBy("_place", "_block")))
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in dealt.schema.fields])
-    done, rounds = [], _against_rest
+    rounds = _against_rest
     while True:
         final = blocks == 1
         sorted_rows = dealt.sortWithinPartitions("_place", "_block", F.desc("_size"), "_order")
-        rounded = stored(sorted_rows.mapInArrow(lambda b, f=final, r=rounds: r(b, f), schema), "mixing")
+        rounded = stored(sorted_rows.mapInArrow(lambda b, f=final, r=rounds: r(b, f), _nullable(dealt)), "mixing").select(columns)
         done.append(rounded.filter(F.col("_p") <= TINY))
         if final:
             break
         blocks = -(-blocks // FAN)
         level = rounded.filter(F.col("_p") > TINY)
-        level = level.withColumn("_block", F.floor(F.col("_block") / FAN)).withColumn("_chance", _uniform("_chance", F.lit(4)))
+        if opened is not None:
+            level, opened = level.unionByName(opened), None
+        level = level.withColumn("_block", _node(1)).withColumn("_chance", _uniform("_chance", F.lit(4)))
         dealt, rounds = level.repartition("_place", "_block"), _pivotal
     whole = done[0]
     for part in done[1:]:
