@@ -20,7 +20,8 @@ exact join.
 Defined cases: vectors that are missing, empty or zero, or hold missing or non-finite
 components, and vectors without a label, link with nothing; so do vectors of different
 length; equal vectors link with each other, repeated rows too; each row gets its own
-result; a component is named by its smallest id, a missing id only where all are.
+result; a component is named by its smallest id, a missing id only where all are; ties at the
+threshold link; an empty table gives no row; columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -206,33 +207,31 @@ def near_vectors(
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
-    node = F.xxhash64("label", F.size("embedding"), "embedding")
-    # A class of equal vectors; unusable rows are nodes of their own by having none.
-    rows = rows.withColumn("node", F.when(F.col("usable"), node))
-    named = stored(rows.select("vec_id", "node"), "vector-names")
-    classes = stored(
-        rows.filter("usable").groupBy("node").agg(
-            F.first("label").alias("label"), F.first(F.size("embedding")).cast("int").alias("width"),
-            F.count("*").alias("copies"), F.first("embedding").alias("embedding"),
-        ),
-        "vector-classes",
+    # A class of equal vectors, told by 128 bits; unusable rows are classes of their own by having none.
+    for name, seed in (("a", 1), ("b", 2)):
+        rows = rows.withColumn(name, F.when(F.col("usable"), F.xxhash64(F.lit(seed), "label", F.size("embedding"), "embedding")))
+    named = stored(rows.select("vec_id", "a", "b"), "vector-names")
+    classes = rows.filter("usable").groupBy("a", "b").agg(
+        F.first("label").alias("label"), F.first(F.size("embedding")).cast("int").alias("width"),
+        F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("embedding").alias("embedding"),
     )
-    found = stored(link_classes(classes, cosine, block), "vector-links")
+    # Written once, the number of a class stays.
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    found = stored(link_classes(classes.drop("a", "b", "least"), cosine, block), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.filter("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
-    least = named.filter("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     known = (
-        least.join(links, "node", "left").join(joined, "node", "left")
-        .select("node", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component"))
+        classes.select("node", "a", "b", "least", "copies").join(links, "node", "left").join(joined, "node", "left")
+        .select("a", "b", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component"))
     )
     known = stored(known, "vector-known")
     ids = known.groupBy("component").agg(F.min("least").alias("component_id"))
     known = stored(
         known.join(ids, "component").select(
-            F.col("node").alias("of"), (F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"), "component_id"),
+            F.col("a").alias("of"), F.col("b").alias("of_b"), (F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"), "component_id"),
         "vector-results",
     )
-    result = named.join(known, F.col("node") == F.col("of"), "left")
+    result = named.join(known, (F.col("a") == F.col("of")) & (F.col("b") == F.col("of_b")), "left")
     component = F.when(F.col("of").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return result.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
