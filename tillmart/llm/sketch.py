@@ -1,17 +1,19 @@
 """Document fingerprints: every shingle hash below a fixed fraction of the hash space.
 
-The sketch of a text is a fixed share of its shingles, so it grows with the text. Two
-sketches merge by union, and shared hashes over the smaller sketch estimate how much
-of a short text a long one contains. ``likeness`` is shared over all hashes.
+The sketch of a text is a fixed share of its shingles, so it grows with the text. The
+sketch of two texts together is the union of theirs (:func:`merged`), and shared hashes
+over the smaller sketch estimate how much of a short text a long one contains.
+``likeness`` is shared over all hashes. A short text may have no hash below the fraction;
+its least hash, a column of its own that merges as a minimum, then stands for it.
 
 DataFrame functions only. Word hashes are combined to shingle hashes without building
 shingle strings. The next document in id order is found inside ranges of ids: each
 range also gets a copy of the first document of the following range, so the texts are
 shuffled once and no task holds more than a range.
 
-Defined cases: a missing text is an empty one, with an empty fingerprint; a text
-shorter than a shingle is one shingle; a text none of whose hashes is below the
-fraction keeps its smallest one; two empty fingerprints have likeness 1; a single
+Defined cases: a missing text is an empty one, with an empty fingerprint; texts of any
+length are taken whole; a text shorter than a shingle is one shingle; of a text none of
+whose hashes is below the fraction the least hash is compared and shown; two empty fingerprints have likeness 1; a single
 document is its own next one; a missing id comes before all others, and rows of equal
 id are ordered by a hash of their text.
 """
@@ -31,7 +33,7 @@ RANGE, RANGES = 1024, 1 << 16
 
 
 def add_sketch(rows: DataFrame, text: str, column: str, shingle: int = SHINGLE, fraction: float = FRACTION) -> DataFrame:
-    """Adds the sorted array of retained hashes."""
+    """Adds the sorted array of retained hashes, and as ``<column>_least`` the least hash of all."""
     limit = -(1 << 63) + int(fraction * (1 << 64))
     words = F.transform(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
     at = lambda i: [F.get(f"{column}_w", i + k) for k in range(shingle)]
@@ -41,9 +43,19 @@ def add_sketch(rows: DataFrame, text: str, column: str, shingle: int = SHINGLE,
     ).when(F.size(f"{column}_w") > 0, F.array(F.xxhash64(f"{column}_w"))).otherwise(F.array().cast("array<bigint>"))
     kept = F.filter(F.col(f"{column}_h"), lambda h: h < limit)
     rows = rows.withColumn(f"{column}_w", words).withColumn(f"{column}_h", all_of).withColumn(f"{column}_k", kept)
-    least = F.when(F.size(f"{column}_h") > 0, F.array(F.array_min(f"{column}_h"))).otherwise(F.col(f"{column}_h"))
-    sketch = F.when(F.size(f"{column}_k") > 0, F.array_sort(F.array_distinct(f"{column}_k"))).otherwise(least)
-    return rows.withColumn(column, sketch).drop(f"{column}_w", f"{column}_h", f"{column}_k")
+    rows = rows.withColumn(column, F.array_sort(F.array_distinct(f"{column}_k"))).withColumn(f"{column}_least", F.array_min(f"{column}_h"))
+    return rows.drop(f"{column}_w", f"{column}_h", f"{column}_k")
+
+
+def merged(a: str, b: str) -> tuple[Column, Column]:
+    """Sketch and least hash of two texts together."""
+    return F.array_sort(F.array_union(a, b)), F.least(f"{a}_least", f"{b}_least")
+
+
+def shown(sketch: str) -> Column:
+    """What is compared and printed: the sketch, or the least hash where it is empty."""
+    least = F.when(F.col(f"{sketch}_least").isNull(), F.col(sketch)).otherwise(F.array(f"{sketch}_least"))
+    return F.when(F.size(sketch) > 0, F.col(sketch)).otherwise(least)
 
 
 def fingerprint(sketch: str) -> Column:
@@ -139,4 +151,6 @@ def _with_edit(rows: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("half")),
         F.substring("next_text", F.lit(1), F.col("half"))
     ))
-    return add_sketch(add_sketch(rows, "text", "sketch"), "edited", "edited_sketch").drop("next_text")
+    rows = add_sketch(add_sketch(rows, "text", "pure"), "edited", "edited_pure")
+    rows = rows.withColumn("sketch", shown("pure")).withColumn("edited_sketch", shown("edited_pure"))
+    return rows.drop("next_text", "pure", "pure_least", "edited_pure", "edited_pure_least")
