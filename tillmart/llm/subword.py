@@ -38,6 +38,8 @@ from tillmart.llm.common import stored, text_of
 
 #: Words whose score a task remembers; a fuller dictionary is emptied before the next rows.
 REMEMBERED = 200_000
+#: Rows that a task splits into words at a time.
+ROWS = 500
 
 
 @dataclass(frozen=True)
@@ -244,14 +246,16 @@ def sample(documents: DataFrame, labels: DataFrame, settings: Settings, text: st
     A label counts once for an id, and of an id given to several documents one text is
     learned from, that of the smallest hash: repeated rows neither fill the sample nor the task.
     """
+    texts = documents.select("doc_id", text_of(text).alias("text"))
+    texts = texts.filter(F.octet_length("text") <= settings.train_bytes)
+    # Chosen among the rows that can be learned from, so long texts do not thin out a label.
+    known = stored(labels.filter("doc_id is not null").distinct().join(texts.select("doc_id"), "doc_id", "left_semi"), "labels")
     parts = [
-        labels.filter((F.col("label") == value) & F.col("doc_id").isNotNull()).select("doc_id", "label").distinct()
+        known.filter(F.col("label") == value).select("doc_id", "label")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.rows_per_label)
         for value in (0, 1)
     ]
     chosen = stored(parts[0].union(parts[1]), "label-sample")
-    texts = documents.select("doc_id", text_of(text).alias("text"))
-    texts = texts.filter(F.octet_length("text") <= settings.train_bytes)
     texts = texts.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
     texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("least.text").alias("text"), "label")
@@ -281,8 +285,8 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], settings: Setti
         gc.disable()
         scorer = Scorer(*sent.value, settings)
         for batch in batches:
-            for at in range(0, max(batch.num_rows, 1), 2000):
-                rows = batch.slice(at, 2000)
+            for at in range(0, max(batch.num_rows, 1), ROWS):
+                rows = batch.slice(at, ROWS)
                 place = rows.schema.get_field_index
                 made = pa.array(scorer.score(rows.column(place(text)).to_pylist()), pa.float64())
                 yield pa.RecordBatch.from_arrays([rows.column(place(c)) for c in kept] + [made], [*kept, column])
