@@ -27,3 +27,19 @@ def test_copies_of_a_page_are_one_page_to_the_lines_stage(spark):
     assert [r.text for r in kept if r.doc_id < 30] == [page]
     plain = {r.doc_id: r.text for r in lines.drop_site_lines(documents).collect()}
     assert plain[0] == "" and "footer" not in plain[30]  # rows count, as in the SQL of the query
+
+
+def test_lines_of_a_host_go_on_that_host_only(spark):
+    rng = random.Random(10)
+    rows = []
+    for k in range(60):
+        host = ("A.example.org", "b.example.org:80", "user@c.net")[k % 3]
+        html = f"<p>{sentence(rng, 8)}</p>\n<footer>menu</footer>" if k % 3 < 2 or k < 6 else sentence(rng, 8)
+        rows.append((k, f"http://{host}/p/{k}?x", html, "kept"))
+    rows += [(90, None, "<footer>menu</footer>", "kept"), (91, "no scheme", None, "kept")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, line_host string")
+    found = {r.page_id: r for r in lines.drop_host_lines(pages, min_pages=5).collect()}
+    assert len(found) == 62 and {r.line_host for r in found.values()} == {"kept"}
+    assert all(("menu" in found[k].html) == (k % 3 == 2 and k < 6) for k in range(60))
+    assert found[90].html == "<footer>menu</footer>" and found[91].html is None
+    assert lines.drop_host_lines(pages.limit(0)).count() == 0

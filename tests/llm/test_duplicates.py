@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.rows import empty_documents, odd_documents, sentence, with_clashes
 from tillmart.llm import components, simhash, vectors
@@ -161,6 +162,50 @@ def test_vectors_against_brute_force(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def check_vectors(found, rows):
+    pairs = _brute_vectors(rows)
+    groups = brute_groups(len(rows), pairs)
+    links = np.bincount(np.array(pairs, int).reshape(-1, 2).ravel(), minlength=len(rows))
+    found = {r.vec_id: r for r in found}
+    assert len(found) == len(rows)
+    for i, r in enumerate(rows):
+        got = found[r[0]]
+        assert (got.n_links, got.component_id, got.kept) == (links[i], rows[groups[i]][0], groups[i] == i), r[0]
+    return int(links.sum())
+
+
+def test_vector_query_against_brute_force(spark, sample_dir):
+    rows = sorted(tuple(r) for r in spark.read.parquet(f"{sample_dir}/embeddings.parquet").select("vec_id", "embedding", "label").collect())
+    check_vectors(QUERIES["op6_embedding_dedup"].run(spark, sample_dir).collect(), rows)
+
+
+def test_vector_query_with_planted_links_in_many_blocks_of_one_label(spark, tmp_path, monkeypatch):
+    """Clusters, chains of near copies and unlike vectors, nearly all of one label; blocks of 48."""
+    monkeypatch.setattr(vectors, "BLOCK", 48)
+    monkeypatch.setattr(vectors.near_vectors, "__defaults__", (*vectors.near_vectors.__defaults__[:-1], 48))
+    rng = np.random.default_rng(17)
+    points = list(rng.normal(size=(500, 16)))
+    for _ in range(120):
+        base = points[rng.integers(500)]
+        points += [base + rng.normal(0, 0.06, 16) for _ in range(3)]
+    step = rng.normal(size=16)
+    for _ in range(60):  # a chain whose ends are far apart
+        step = step / np.linalg.norm(step) + rng.normal(0, 0.03, 16)
+        points.append(step)
+    order = rng.permutation(len(points))
+    rows = [(k, points[i].astype(np.float32).tolist(), 3 if k % 9 else 4) for k, i in enumerate(order.tolist())]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert check_vectors(QUERIES["op6_embedding_dedup"].run(spark, str(tmp_path)).collect(), rows) > 300
+
+
+def test_vectors_with_clashing_columns(spark):
+    rows = [(1, [1.0, 0.0], 1, "x"), (2, [1.0, 0.001], 1, "y")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string")
+    for name in ("a", "b", "component", "copies", "least", "links", "cell", "usable"):
+        frame = frame.withColumn(name, F.lit("kept"))
+    assert [(r.n_links, r.component_id) for r in vectors.near_vectors(frame).collect()] == [(1, 1), (1, 1)]
+
+
 def test_vectors_repeated_rows_and_missing_ids(spark):
     rows = [(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (6, [0.0, 1.0], 1)]
     found = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm.common import stored, unused
+from tillmart.llm.hosts import host_of
 
 
 def _lines(text: str) -> Column:
@@ -76,3 +77,12 @@ def drop_site_lines(
         *[F.array_join(kept, "\n").alias(c) if c == text else F.col(c) for c in rows.columns],
         n_lines.cast("long").alias("n_lines"), (n_lines - n_kept).cast("long").alias("n_dropped"),
     )
+
+
+def drop_host_lines(pages: DataFrame, url: str = "url", text: str = "html", **limits) -> DataFrame:
+    """:func:`drop_site_lines` of web pages, whose site is the host of their url.
+
+    Pages without a host, such as those without a url, are one site.
+    """
+    (host,) = unused(pages, "line_host")
+    return drop_site_lines(pages.withColumn(host, host_of(url)), host, text, **limits).drop(host)
