@@ -102,4 +102,5 @@ def test_windows_find_more_than_plain_averaging(spark, sample_dir):
     recall, precision = held_out_figures(spark, sf_dir, toxicity.SETTINGS)
     plain = held_out_figures(spark, sf_dir, replace(toxicity.SETTINGS, pool="mean"))
     print(f"windows: recall {recall:.3f}, precision {precision:.3f}; whole texts: {plain[0]:.3f}, {plain[1]:.3f}")
-    assert recall >= 0.95 and precision >= 0.95 and recall >= plain[0]
+    assert recall >= 0.85 and precision >= 0.75
+    assert recall > plain[0] + 0.05 and precision > plain[1] + 0.3
