@@ -222,3 +222,11 @@ def test_hot_product_is_split_by_aqe_when_products_are_too_big_to_broadcast(spar
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_baskets_shuffle_columns_of_the_table_only(spark, sample_dir):
+    rows = sample.raw_table(spark, sample_dir, "purchases")
+    plan = plan_of(rows)
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(basket_key" not in plan
+    lines = spark.read.parquet(f"{sample_dir}/lineitem.parquet")
+    assert rows.agg(F.sum(F.size("items"))).first()[0] == lines.count()

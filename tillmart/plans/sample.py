@@ -7,6 +7,8 @@ purpose (blank, out of range, wrong type) to exercise the cleaning rules.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -332,9 +334,15 @@ def _source(
         )
         return rows.join(counted, F.col("o_orderkey") == F.col("counted_key"), "left")
     if relation == BASKETS_FROM:
-        # One array per order: its size is the number of lines of one purchase. Each
-        # element is made before it is collected, where Spark compiles it.
-        lines = read("lineitem").select(F.col("l_orderkey").alias("basket_key"), F.expr(line).alias("line"))
+        # One array per order: its size is the number of lines of one purchase. The columns
+        # of the table are shuffled, not the many texts made of them. Each element is made
+        # before it is collected, where Spark compiles it; the number of partitions is given,
+        # because they grow after the shuffle, unseen by AQE.
+        lines = read("lineitem")
+        used = [c for c in lines.columns if c == "l_orderkey" or line == "struct(*)" or re.search(rf"\b{c}\b", line)]
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        lines = lines.select(*used).repartition(parts, "l_orderkey")
+        lines = lines.select(F.col("l_orderkey").alias("basket_key"), F.expr(line).alias("line"))
         baskets = lines.groupBy("basket_key").agg(F.collect_list("line").alias("basket"))
         return rows.join(baskets, F.col("o_orderkey") == F.col("basket_key"), "left")
     return rows
