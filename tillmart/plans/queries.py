@@ -1090,17 +1090,20 @@ def _(spark, d):
     return windows.read_alerts(spark, root)
 
 
-def _in_batches(spark, d, topic, files=4, with_mart=True) -> str:
+def _in_batches(spark, d, topic, batches=4, with_mart=True) -> str:
     """Ingest target of one topic that arrived in several batches."""
     root = fresh_dir(spark, "upkeep")
-    messages.publish_files(sample.envelopes(spark, d, topic).repartition(files), f"{root}/log")
-    _ingest_more(spark, root, topic, with_mart)
+    sent = sample.envelopes(spark, d, topic)
+    # Purchases come in many parts from their join; a shuffle of whole messages would be their size.
+    messages.publish_files(sent if topic == "purchases" else sent.repartition(batches), f"{root}/log")
+    files = sum(n.startswith("part-") for n in folders.data_files(spark, f"{root}/log"))
+    _ingest_more(spark, root, topic, with_mart, max(1, files // batches))
     return root
 
 
-def _ingest_more(spark, root, topic, with_mart=True) -> None:
-    """Takes what has come into the log since; one file is one batch."""
-    jobs.ingest(messages.file_stream(spark, f"{root}/log", 1), root, AS_OF, (topic,), with_mart=with_mart)
+def _ingest_more(spark, root, topic, with_mart=True, files=1) -> None:
+    """Takes what has come into the log since, in batches of so many files."""
+    jobs.ingest(messages.file_stream(spark, f"{root}/log", files), root, AS_OF, (topic,), with_mart=with_mart)
 
 
 @register("compact_versions", oracle.with_(
@@ -1171,8 +1174,8 @@ def _(spark, d):
         upkeep.delete = folders.delete
     again = sample.envelopes(spark, d, "purchases")
     again = again.where(F.get_json_object("json_data", "$.purchase_id").endswith("7"))
-    messages.publish_files(again.coalesce(1), f"{root}/log")
-    _ingest_more(spark, root, "purchases", with_mart=False)
+    messages.publish_files(again, f"{root}/log")
+    _ingest_more(spark, root, "purchases", with_mart=False, files=1000)
     upkeep.apply_retention(spark, root, AS_OF, 45, ("purchases",))
     rows = ingest.read_raw(spark, ingest.Layout(root), "purchases")
     return portable(rows.groupBy("purchase_id", "event_time").agg(F.count("*").alias("copies")))

@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillmart.entities import ENTITIES
-from tillmart.operators.envelope import flat_columns, flatten, open_envelopes, with_month
+from tillmart.operators.envelope import accepted, flatten, open_envelopes, rejected, with_month
 from tillmart.operators.mart import TARGETS, build_target, current
 from tillmart.operators.versions import latest_by_key
 from tillmart.sources.folders import complete, partition_values
@@ -108,33 +109,21 @@ def read_mart(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFram
 def ingest_batch(
     batch: DataFrame, batch_id: int, layout: Layout, received_at, topics: Iterable[str]
 ) -> None:
-    """Writes raw rows and dead letters of one micro-batch; a message is opened once."""
-    kept = [batch.persist()]
-    try:
-        dead = batch.where(F.col("topic").isNull() | ~F.col("topic").isin(*topics)).select(
-            "topic", "json_data", "event_time", F.lit("unknown topic").alias("reject_reason")
-        )
-        for topic in topics:
-            entity = ENTITIES[topic]
-            opened = open_envelopes(
-                batch.where(F.col("topic") == topic), entity.schema, received_at
-            )
-            parsed = opened.select(
-                "topic", "reject_reason", F.col("event_time").alias("_sent"), "json_data",
-                F.col("event_clock").alias("event_time"), *flat_columns(entity),
-            ).persist()
-            kept.append(parsed)
-            rows = parsed.where(F.col("reject_reason").isNull())
-            rows = with_month(rows.drop("topic", "reject_reason", "_sent"))
-            write_batch(rows, layout.raw(topic), batch_id, ("event_month",))
-            bad = parsed.where(F.col("reject_reason").isNotNull())
-            dead = dead.unionByName(
-                bad.select("topic", "json_data", F.col("_sent").alias("event_time"), "reject_reason")
-            )
-        write_batch(dead, layout.dead, batch_id)
-    finally:
-        for frame in kept:
-            frame.unpersist()
+    """Writes raw rows and dead letters of one micro-batch.
+
+    Nothing is kept between the two writes: opened messages are many times the size of
+    what they are made of, and would fill the memory or the disks of the executors. The
+    search for dead letters opens the messages once more instead.
+    """
+    dead = batch.where(F.col("topic").isNull() | ~F.col("topic").isin(*topics)).select(
+        "topic", "json_data", "event_time", F.lit("unknown topic").alias("reject_reason")
+    )
+    for topic in topics:
+        entity = ENTITIES[topic]
+        opened = open_envelopes(batch.where(F.col("topic") == topic), entity.schema, received_at)
+        write_batch(with_month(flatten(accepted(opened), entity)), layout.raw(topic), batch_id, ("event_month",))
+        dead = dead.unionByName(rejected(opened))
+    write_batch(dead, layout.dead, batch_id)
 
 
 def cascade_batch(
@@ -142,13 +131,15 @@ def cascade_batch(
 ) -> None:
     """Derives the mart versions of one batch from its written raw rows.
 
-    A topic is read once, whatever number of targets it feeds.
+    A topic is read once, whatever number of targets it feeds, and without the message
+    texts, which no target needs. What is read waits on disk, not in memory.
     """
     for topic in topics:
         fed = [name for name, target in TARGETS.items() if target.source == topic]
         if not fed:
             continue
-        raw = read_batch(spark, layout.raw(topic), raw_schema(spark, topic), batch_id, ("event_month",)).persist()
+        raw = read_batch(spark, layout.raw(topic), raw_schema(spark, topic), batch_id, ("event_month",))
+        raw = raw.drop("json_data").persist(StorageLevel.DISK_ONLY)
         try:
             for name in fed:
                 write_batch(build_target(name, raw, as_of, by_event_time=True), layout.mart(name), batch_id)
