@@ -58,7 +58,11 @@ def shingle_hashes(text: str | None, shingle: int = 4, seed: int = 42) -> np.nda
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
-    hashes = shingle_hashes(text, shingle, seed)
+    return fingerprint_of(shingle_hashes(text, shingle, seed))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """A bit is set if more than half of the hashes have it."""
     votes = np.zeros(64, np.int64)
     for at in range(0, len(hashes), PIECE):
         part = hashes[at:at + PIECE].view(np.uint8).reshape(-1, 8)
