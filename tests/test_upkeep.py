@@ -239,3 +239,15 @@ def test_a_topic_is_read_once_for_its_targets(spark, sample_dir, tmp_path, monke
     ingest.cascade_batch(spark, 0, layout, AS_OF, ("purchases",))
     assert reads == [layout.raw("purchases")] and len(plans) == 3
     assert all("InMemoryTableScan" in plan for _, plan in plans)
+
+
+def test_a_batch_keeps_no_copies_of_its_messages_and_logs_are_compressed(spark, sample_dir, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(
+        ingest, "write_batch",
+        lambda df, *_: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    sent = sample.envelopes(spark, sample_dir, "customers")
+    ingest.ingest_batch(sent, 0, ingest.Layout(str(tmp_path / "root")), AS_OF, ("customers",))
+    assert len(plans) == 2 and not any("InMemoryTableScan" in plan for plan in plans)
+    messages.publish_files(sent, str(tmp_path / "log"))
+    assert list((tmp_path / "log").glob("*.json.gz")) and not list((tmp_path / "log").glob("part-*.json"))
