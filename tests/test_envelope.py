@@ -205,3 +205,24 @@ def test_pads_are_never_printed(spark):
             assert pad not in df._jdf.queryExecution().toString().lower()
     finally:
         spark.conf.set(name, before)
+
+
+def test_documents_are_written_by_many_tasks_and_loaded_into_large_files(spark, tmp_path):
+    from tillmart.plans.queries import _write_documents
+
+    rows = spark.range(80, numPartitions=1).select(F.concat(F.lit("s-"), "id").alias("store_id"), F.lit("Лавка").alias("store_name"))
+    _write_documents(rows, str(tmp_path / "in" / "stores"))
+    files = sorted((tmp_path / "in" / "stores").glob("*.json"))
+    assert len(files) == 80 and all(f.read_bytes().count(b"\n") == 1 for f in files)
+    assert len({f.name.split("-")[1] for f in files}) > 1
+    for clear, times in ((False, 1), (True, 1), (False, 2)):
+        documents.load_documents(spark, str(tmp_path / "in"), str(tmp_path / "out"), clear, ("stores",))
+        loaded = spark.read.parquet(str(tmp_path / "out" / "stores"))
+        assert len(list((tmp_path / "out" / "stores").glob("part-*"))) == times
+        assert loaded.count() == 80 * times and loaded.select("store_id", "store_name").exceptAll(rows).count() == 80 * (times - 1)
+
+
+def test_malformed_documents_keep_their_bytes(spark, tmp_path):
+    (tmp_path / "bad.json").write_bytes(b'\xef\xbb\xbf{"store_id": "\xff"\r\n')
+    text = documents.open_documents(spark, str(tmp_path), "store_id string").select(F.col("json_data").cast("binary")).first()[0]
+    assert bytes(text) == b'\xef\xbb\xbf{"store_id": "\xff"\r\n'

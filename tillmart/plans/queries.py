@@ -485,13 +485,29 @@ def _(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+def _write_documents(rows: DataFrame, folder: str) -> None:
+    """One JSON file per document, from many tasks, each of which moves its own files in place.
+
+    A local file is made without its checksum file, which would start a process of its own.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        rows.repartition(parts)
+        .write.option("maxRecordsPerFile", 1)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .option("fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
+        .option("fs.file.impl.disable.cache", "true")
+        .json(folder)
+    )
+
+
 @register("document_load", oracle.with_(oracle.raw_ctes("raw_stores"), """
     select store_id, store_name, manager_name, location_city,
       location_coordinates_latitude as latitude, opening_hours_sun, accepts_online_orders from raw_stores"""))
 def _(spark, d):
     """One JSON file per store document, loaded twice over into a collection."""
     root = fresh_dir(spark, "documents")
-    sample.documents(spark, d, "stores").write.option("maxRecordsPerFile", 1).json(f"{root}/in/stores")
+    _write_documents(sample.documents(spark, d, "stores"), f"{root}/in/stores")
     documents.load_documents(spark, f"{root}/in", f"{root}/out", False, ("stores",))
     documents.load_documents(spark, f"{root}/in", f"{root}/out", True, ("stores",))
     return documents.read_collection(spark, "parquet", path=f"{root}/out/stores").select(

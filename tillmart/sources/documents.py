@@ -19,8 +19,9 @@ _NO_TIME = "1970-01-01 00:00:00"
 def open_documents(spark: SparkSession, folder: str, schema: str | StructType) -> DataFrame:
     """One row per ``*.json`` file: text, parsed ``doc``, ``reject_reason``."""
     try:
-        files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
-        rows = files.select(F.col("value").alias("json_data"),
+        # The text reader copies the Hadoop settings for every file; this one does not.
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
+        rows = files.select(F.col("content").cast("string").alias("json_data"),
                             F.col("_metadata.file_path").alias("topic"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -62,7 +63,8 @@ def load_documents(
         before = 0
         if not clear_before:
             before = _stored_rows(spark, target)
-        documents.write.mode("overwrite" if clear_before else "append").parquet(target)
+        # A task reads a few dozen small files; the collection is gathered into large ones.
+        documents.hint("rebalance").write.mode("overwrite" if clear_before else "append").parquet(target)
         row = spark.read.schema(documents.schema).parquet(target).agg(
             (F.count(F.lit(1)) - F.lit(before)).alias("documents")
         ).select(F.lit(topic).alias("topic"), "documents")
