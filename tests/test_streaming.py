@@ -275,3 +275,22 @@ def test_table_sizes_are_those_of_the_files(spark, sample_dir):
     sizes = table_sizes({n: spark.read.parquet(f"{sample_dir}/{n}.parquet") for n in ("events", "part")}).collect()
     for row in sizes:
         assert row.size_mb == Path(f"{sample_dir}/{row.table}.parquet").stat().st_size / 2**20
+
+
+def test_exports_leave_the_result_kept_for_the_other_sinks(spark, tmp_path, monkeypatch):
+    kept, write = [], sinks.write_dated
+
+    def noted(df, *args):
+        kept.append(df.storageLevel.useDisk)
+        return write(df, *args)
+
+    monkeypatch.setattr(sinks, "write_dated", noted)
+    df = spark.range(3).selectExpr("id as customer_id", "id as customer_sk")
+    formats = ("csv", "json", "export")
+    written = sinks.write_results(df, "2026-03-08", formats, str(tmp_path), export_root=str(tmp_path / "store"))
+    assert set(written) == {"csv", "json", "export_csv", "export_json"} and kept == [True] * 4
+    assert not df.storageLevel.useDisk
+    df.persist()
+    sinks.write_results(df, "2026-03-08", ("csv",), str(tmp_path))
+    assert df.storageLevel.useDisk
+    df.unpersist()

@@ -98,12 +98,14 @@ def write_results(
     """Writes one result to several sinks, computing it once.
 
     ``jdbc`` holds url, table and connector options of the ``jdbc`` sink;
-    ``export`` writes dated CSV and JSON below ``export_root``.
+    ``export`` writes dated CSV and JSON below ``export_root``. A result that the
+    caller has persisted stays so.
     """
     unknown = set(formats) - {*FORMATS, *MORE_FORMATS}
     if unknown:
         raise ValueError(f"unknown sinks {sorted(unknown)}")
-    kept = df.persist()
+    held = df.storageLevel.useMemory or df.storageLevel.useDisk
+    kept = df if held else df.persist()
     written = {}
     try:
         if "table" in formats:
@@ -119,7 +121,8 @@ def write_results(
             if fmt in formats:
                 written[fmt] = write_dated(kept, folder, as_of, fmt)
     finally:
-        kept.unpersist()
+        if not held:
+            kept.unpersist()
     return written
 
 
