@@ -226,3 +226,33 @@ def test_malformed_documents_keep_their_bytes(spark, tmp_path):
     (tmp_path / "bad.json").write_bytes(b'\xef\xbb\xbf{"store_id": "\xff"\r\n')
     text = documents.open_documents(spark, str(tmp_path), "store_id string").select(F.col("json_data").cast("binary")).first()[0]
     assert bytes(text) == b'\xef\xbb\xbf{"store_id": "\xff"\r\n'
+
+
+def test_some_raw_columns_come_from_the_same_messages(spark):
+    rows = [(t, "2026-01-01T00:00:00") for t in (
+        json.dumps({"purchase_id": "a", "customer": {"customer_id": "c", "phone": "1"}, "items": [{"name": "x"}], "purchase_datetime": "d"}),
+        json.dumps({"purchase_id": {"x": 1}, "customer": {"phone": 5}, "items": [1, {"name": "y"}]}),
+        json.dumps({"customer": [1], "items": "no", "store": 3}),
+        '{"customer": {"phone": "2"}, "items": [{"name": "x"}', '{"items": [1 2], "customer": {"phone": "3"}}',
+        '[1]', "null", "{}", '  {"customer": null} ', None)]
+    rows.append((rows[0][0], "yesterday"))
+    df = spark.createDataFrame(rows, "json_data string, event_time string")
+    shown = ["customer_phone", "customer_customer_id", "purchase_datetime"]
+    some = envelope.to_raw(df, "purchases", AS_OF, shown)
+    want = envelope.to_raw(df, "purchases", AS_OF).select(*shown)
+    assert some.columns == shown and sorted(some.collect()) == sorted(want.collect())
+    assert want.count() == 5
+
+
+def test_phones_are_cleaned_as_the_rules_say(spark):
+    digits = ["", "8", "7", "+7", "+", "8+", "7+", "78", "87", "9123456789", "7123456789", "7+23456789", "8123456789",
+              "+123456789", "89123456789", "79123456789", "+79123456789", "7 (912) 345-67-89+", "a8", "x9\n123456789", "98+7"]
+
+    def rule(text):
+        kept = "".join(c for c in text if c in "0123456789+")
+        if kept.startswith("8") or (kept.startswith("7") and "+" not in kept):
+            return "+7" + kept[1:]
+        return "+7" + kept if len(kept) == 10 else kept
+
+    got = spark.createDataFrame([(x,) for x in digits], "x string").select("x", normal_phone(F.col("x")).alias("y")).collect()
+    assert {r.x: r.y for r in got} == {x: rule(x) for x in digits}

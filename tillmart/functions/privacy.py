@@ -25,13 +25,9 @@ def hide_pads(spark: SparkSession) -> None:
 def normal_phone(value: Column) -> Column:
     """``+7XXXXXXXXXX`` where the rules allow it, otherwise digits and plus only."""
     kept = F.regexp_replace(value, "[^0-9+]", "")
-    national = F.concat(F.lit("+7"), F.substring(kept, 2, 2_000_000_000))
-    return (
-        F.when(kept.startswith("8"), national)
-        .when(kept.startswith("7") & ~kept.contains("+"), national)
-        .when(F.length(kept) == 10, F.concat(F.lit("+7"), kept))
-        .otherwise(kept)
-    )
+    # A leading 8, a leading 7 without any plus, or the start of ten characters. One
+    # expression, because Spark would clean the text again for each branch of a choice.
+    return F.regexp_replace(kept, r"^(?:8|7(?=[^+]*$)|(?=.{10}$))", "+7")
 
 
 def normal_email(value: Column) -> Column:

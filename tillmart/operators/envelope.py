@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from tillmart.entities import ENTITIES, Entity, leaf_paths
 from tillmart.functions.moments import fixed_offset_clock, moment, month_key
@@ -130,12 +131,36 @@ def flatten(opened: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
-def to_raw(envelopes: DataFrame, topic: str, received_at) -> DataFrame:
-    """Usable envelopes of one topic as raw rows."""
+def to_raw(
+    envelopes: DataFrame, topic: str, received_at, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Usable envelopes of one topic as raw rows, or only some string columns of them.
+
+    For ``columns``, only their fields are taken out of the messages. Every message is still
+    read to its end, so the same ones are usable.
+    """
     entity = ENTITIES[topic]
+    if columns is not None:
+        entity = replace(entity, schema=_only(entity.schema, set(columns)))
+        opened = accepted(open_envelopes(envelopes, entity.schema, received_at))
+        return opened.select(*flat_columns(entity)).select(*columns)
     return flatten(accepted(open_envelopes(envelopes, entity.schema, received_at)), entity)
 
 
+def _only(schema: StructType, columns: set[str], parents: tuple[str, ...] = ()) -> StructType:
+    """The fields of a document that make the given flat columns."""
+    kept = []
+    for field in schema.fields:
+        path = (*parents, field.name)
+        if isinstance(field.dataType, StructType):
+            inner = _only(field.dataType, columns, path)
+            if inner.fields:
+                kept.append(StructField(field.name, inner))
+        elif "_".join(path) in columns:
+            kept.append(field)
+    return StructType(kept)
+
+
 def with_entity_id(raw: DataFrame, topic: str) -> DataFrame:
     """Adds ``entity_id``, the topic's natural key, ``?`` when it is missing."""
     key = F.col(f"`{ENTITIES[topic].id_column}`")

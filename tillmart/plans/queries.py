@@ -572,7 +572,8 @@ def _(spark, d):
     envelopes = jobs.publish(
         sample.documents(spark, d, "purchases"), "purchases", sample.HMAC_KEY, AS_OF, sent.append
     )
-    raw = envelope.to_raw(envelopes, "purchases", AS_OF)
+    shown = ["customer_customer_id", "purchase_datetime", "customer_phone", "customer_email"]
+    raw = envelope.to_raw(envelopes, "purchases", AS_OF, shown)
     return raw.select(
         "customer_customer_id", "purchase_datetime",
         F.col("customer_phone").alias("phone"), F.col("customer_email").alias("email"),
