@@ -14,6 +14,7 @@ from tests.conftest import plan_of
 from tillmart.operators import features, partials
 from tillmart.operators.envelope import json_path, json_paths
 from tillmart.plans import sample
+from tillmart.plans.queries import QUERIES
 
 AS_OF = sample.AS_OF
 
@@ -55,6 +56,41 @@ def test_a_refresh_leaves_other_months_and_reads_only_its_own(spark, sample_dir,
     assert rows(partials.features_from_partials(spark, path, tables, AS_OF)) == rows(features.customer_features(tables, AS_OF))
 
 
+def test_the_incremental_query_stores_purchases_once_and_refreshes_read_months(spark, sample_dir, monkeypatch):
+    """Their lines were counted anew for every read, and both refreshes read purchases of all months."""
+    seen = []
+    monkeypatch.setattr(partials, "refresh", lambda tables, path, *rest: seen.append((tables, rest)))
+    monkeypatch.setattr(partials, "features_from_partials", lambda *args: args[2]["customers"])
+    QUERIES["features_incremental"].run(spark, sample_dir)
+    want = sample.mart_tables(spark, sample_dir)
+    (first, none), (second, (months,)) = seen
+    assert not none and 199505 in months and 199504 not in months
+    for tables in (first, second):
+        plan = plan_of(tables["purchases"].where(F.col("purchase_month").isin(months)))
+        assert "PartitionFilters: [" in plan and "purchase_month" in plan
+        assert "Aggregate" not in plan and "lineitem" not in plan and "lineitem" not in plan_of(tables["dates"])
+    assert rows(second["purchases"].drop("purchase_month")) == rows(want["purchases"])
+    assert rows(second["dates"]) == rows(want["dates"])
+
+
+@pytest.mark.parametrize("grain", ["item", "purchase"])
+def test_partials_of_odd_rows_add_up(spark, sample_dir, tmp_path, grain):
+    """Purchases without lines, id or customer, and ids that come twice."""
+    tables, path = sample.mart_tables(spark, sample_dir), str(tmp_path / "partials")
+    for name, odd in (("purchases", "purchase_id like '%3'"), ("items", "purchase_id like '%5'"), ("products", "product_id like '%7'")):
+        tables[name] = tables[name].unionAll(tables[name].where(odd))
+    tables["items"] = tables["items"].where("purchase_id not like '%2'")
+    tables["purchases"] = tables["purchases"].withColumns({
+        "purchase_id": F.expr("if(purchase_id like '%9', null, purchase_id)"),
+        "customer_id": F.expr("if(store_id = 'store-4', null, if(purchase_id like '%2', concat('cus-', substr(purchase_id, 5)), customer_id))"),
+    })
+    partials.refresh(tables, path, grain=grain)
+    want = features.customer_metrics(tables, AS_OF, grain)
+    got = partials.metrics_from_partials(spark, path, tables["stores"], AS_OF, grain)
+    assert got.schema.names == want.schema.names and rows(got) == rows(want)
+    assert want.where("unique_categories = 0 and total_purchases > 0").count() > 0
+
+
 def test_paths_of_a_text_come_from_one_parse(spark):
     texts = ['{"a": {"b": [1, "x", {"c": null}]}, "d": 2.5}', "[7, [8]]", "no json", None, "{}", '{"a": {"b": {"c": "é"}}, "k.z": 1}']
     frame = spark.createDataFrame([(t,) for t in texts], "doc string")

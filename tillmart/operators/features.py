@@ -15,6 +15,7 @@ header once. Inputs hold one row per key (see ``latest_by_key``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -111,12 +112,12 @@ def prepare_headers(purchases: DataFrame, as_of, dates: DataFrame | None = None)
     )
 
 
-def fold_lines(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines with their product, folded to one row per (purchase, group)."""
-    described = items.select("purchase_id", "product_id").join(
+def fold_lines(items: DataFrame, products: DataFrame, keys: Sequence[str] = ("purchase_id",)) -> DataFrame:
+    """Lines with their product, folded to one row per (purchase, group); ``keys`` tell the purchase."""
+    described = items.select(*keys, "product_id").join(
         products.select("product_id", "product_group", "is_organic"), "product_id", "left"
     )
-    return described.groupBy("purchase_id", "product_group").agg(
+    return described.groupBy(*keys, "product_group").agg(
         F.count(F.lit(1)).alias("_lines"),
         F.sum(F.col("is_organic").cast("int")).alias("_organic"),
     )

@@ -1204,8 +1204,15 @@ _LATE = "raw_event_time >= '1998-03-01' or (purchase_id like '%7' and date_trunc
 
 @register("features_incremental", oracle.features_sql("item", features.DEFAULTS))
 def _(spark, d):
-    """The feature table from daily partials: a first run, late purchases, and a run of the months they change."""
-    tables, path = sample.mart_tables(spark, d), fresh_dir(spark, "partials")
+    """The feature table from daily partials: a first run, late purchases, and a run of the months they change.
+
+    Purchases are stored by month first, as the mart keeps them, and the calendar beside them.
+    """
+    tables, path, mart_dir = sample.mart_tables(spark, d), fresh_dir(spark, "partials"), fresh_dir(spark, "mart")
+    sinks.write_partitioned(partials.with_purchase_month(tables["purchases"]), f"{mart_dir}/purchases", [partials.MONTH])
+    tables["purchases"] = spark.read.parquet(f"{mart_dir}/purchases")
+    sample.calendar(tables["purchases"]).write.parquet(f"{mart_dir}/dates")
+    tables["dates"] = spark.read.parquet(f"{mart_dir}/dates")
     late = F.coalesce(F.expr(_LATE), F.lit(False))
     partials.refresh(tables | {"purchases": tables["purchases"].where(~late)}, path)
     months = partials.changed_months(tables["purchases"].where(late))

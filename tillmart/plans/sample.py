@@ -371,11 +371,16 @@ def mart_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.lower("n_name").alias("city"),
         ).distinct()
     )
-    days = tables["purchases"].select(F.to_date("raw_event_time").alias("day")).distinct()
-    tables["dates"] = calendar_for(days, "day", AS_OF)
+    tables["dates"] = calendar(tables["purchases"])
     return tables
 
 
+def calendar(purchases: DataFrame) -> DataFrame:
+    """The days on which something was bought."""
+    days = purchases.select(F.to_date("raw_event_time").alias("day")).distinct()
+    return calendar_for(days, "day", AS_OF)
+
+
 def _nested(schema: StructType, exprs: dict[str, str], lists, parents=(), item=None):
     fields = []
     for field in schema.fields:
