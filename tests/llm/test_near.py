@@ -96,3 +96,15 @@ def test_pipeline_stage_takes_candidates_from_simhash(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in near.keep_one(docs).collect()) == [1, 3, 4]
     assert asked and asked[0] >= 2
+
+
+def test_all_sets_of_near_fingerprints_are_compared(spark, monkeypatch):
+    """Without other keys, fingerprints within four bits of each other are enough to find every pair."""
+    monkeypatch.setattr(near, "band_keys", lambda hashes, count: np.zeros(0, np.uint64))
+    rows = near_rows()
+    groups, close = brute_components([r[1] for r in rows])
+    assert close > 100
+    for prints, block in ((1, near.BLOCK), (16, 3000)):
+        monkeypatch.setattr(near, "fingerprint_of", lambda hashes, prints=prints: int(hashes[0]) % prints if len(hashes) else 0)
+        found = {r.doc_id: r.component for r in near.near_copies(spark.createDataFrame(rows, SCHEMA), block=block).collect()}
+        assert len(set(zip(groups, (found[k] for k in range(len(rows))), strict=True))) == len(set(groups)) == len(set(found.values()))
