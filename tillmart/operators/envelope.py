@@ -13,6 +13,8 @@ from tillmart.entities import ENTITIES, Entity, leaf_paths
 from tillmart.functions.moments import fixed_offset_clock, moment, month_key
 
 _CORRUPT = "_corrupt"
+#: The time of a rejected envelope, as it was received.
+SENT = "_sent"
 
 
 def wrap(documents: DataFrame, published_at: Column, topic: str | None = None) -> DataFrame:
@@ -70,6 +72,20 @@ def rejected(opened: DataFrame) -> DataFrame:
     return opened.where(F.col("reject_reason").isNotNull()).select(*keep)
 
 
+def opened_rows(opened: DataFrame, entity: Entity) -> DataFrame:
+    """Usable and rejected envelopes in one frame, so that a message is opened once.
+
+    Usable ones are the rows of :func:`flatten` with their month. Rejected ones have a
+    ``reject_reason``, the time as received in ``_sent``, and no month.
+    """
+    usable = F.col("reject_reason").isNull()
+    return opened.select(
+        "json_data", F.col("event_clock").alias("event_time"), *flat_columns(entity),
+        F.when(usable, month_key(F.col("event_clock"))).alias("event_month"),
+        F.when(~usable, F.col("event_time")).alias(SENT), "reject_reason",
+    )
+
+
 def _text(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from tillmart.functions.keys import key64
 from tillmart.operators import dimensions, facts
@@ -44,10 +45,32 @@ TARGETS = {
     )
 }
 
+# Raw columns, and fields of their items, that the targets of a topic read. Other topics: all but the text.
+READ = {
+    "purchases": (
+        "event_time", "event_month", "purchase_id", "customer_customer_id", "store_store_id", "total_amount", "payment_method",
+        "is_delivery", "delivery_address_country", "delivery_address_city", "delivery_address_street",
+        "delivery_address_house", "delivery_address_apartment", "purchase_datetime", "items",
+    ),
+}
+READ_ITEMS = (
+    "product_id", "category", "quantity", "unit", "price_per_unit", "total_price", "kbju_calories", "kbju_protein",
+    "kbju_fat", "kbju_carbohydrates", "manufacturer_inn",
+)
+
 FEATURES_KEY = ("customer_sk", "customer_id")
 FEATURES_VERSION = "created_at"
 
 
+def read_schema(topic: str, schema: StructType) -> StructType:
+    """The part of a raw schema that the targets of a topic read."""
+    fields = [f for f in schema.fields if f.name in READ.get(topic, schema.names) and f.name != "json_data"]
+    return StructType([
+        StructField(f.name, ArrayType(StructType([x for x in f.dataType.elementType.fields if x.name in READ_ITEMS])))
+        if f.name == "items" else f for f in fields
+    ])
+
+
 def build_target(name: str, raw: DataFrame, as_of, by_event_time: bool = False,
                  hasher=key64) -> DataFrame:
     """All versions of one target from its raw table.

@@ -33,6 +33,7 @@ from tillmart.sources.folders import (
     names,
     partition_values,
 )
+from tillmart.sources.sinks import CODEC
 from tillmart.streaming.ingest import DEAD_SCHEMA, Layout, merged_upto, raw_schema, read_versions
 
 #: Spark's readers pass over names that begin like this.
@@ -56,7 +57,7 @@ def compact_versions(spark: SparkSession, root: str, name: str, as_of) -> int:
         newest = fresh[-1]
         versions = read_versions(spark, layout, name, as_of).where(F.col("batch_id") <= newest)
         rows = current(name, versions, ("batch_id",)).drop("batch_id")
-        rows.write.mode("overwrite").parquet(f"{merged}/merged_upto={newest}")
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(f"{merged}/merged_upto={newest}")
         last = newest
     # What the generation covers is read by nobody any more; a failure before this costs only space.
     if last is not None:
@@ -134,7 +135,8 @@ def _drop_old(spark: SparkSession, path: str, schema: StructType, staging: str,
     files = [f"{folder}/{name}" for folder, found in listed.values() for name in found]
     kept = reader.parquet(*files).where(~old)
     month = [n for n in kept.columns if within.startswith(f"{n}=")]
-    kept.drop(*month).hint("rebalance", "batch_id").write.mode("overwrite").partitionBy("batch_id").parquet(f"{staging}/rows")
+    kept = kept.drop(*month).hint("rebalance", "batch_id")
+    kept.write.mode("overwrite").option("compression", CODEC).partitionBy("batch_id").parquet(f"{staging}/rows")
     lines = [json.dumps({"batch": batch, "folder": folder, "files": found}) for batch, (folder, found) in listed.items()]
     _write_text(spark, f"{staging}/intent", "\n".join(lines))
     for batch, (folder, found) in listed.items():

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 #: Spark's writers put this file last, so a folder that holds it is complete.
 COMPLETE = "_SUCCESS"
+#: What Spark's writers call the partition of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -53,9 +55,10 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
-    """Values of an integer partition column, from folder names one level below."""
+    """Values of an integer partition column, from folder names one level below, without the missing one."""
     prefix = f"{column}="
-    return sorted(int(n[len(prefix):]) for n in names(spark, path) if n.startswith(prefix))
+    found = (n.removeprefix(prefix) for n in names(spark, path) if n.startswith(prefix))
+    return sorted(int(n) for n in found if n != NO_VALUE)
 
 
 def finished_batches(spark: SparkSession, checkpoint: str) -> int | None:

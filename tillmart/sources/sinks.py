@@ -20,6 +20,8 @@ TECHNICAL = ("customer_sk", "created_at")
 EXPORT_FOLDER = "analytics"
 FORMATS = ("table", "csv", "json")
 MORE_FORMATS = ("jdbc", "export")
+#: Of batches at rest: message texts take less than half of what they take by Spark's default.
+CODEC = "zstd"
 _NO_TABLE = r"not (exist|found)|doesn't exist|no such table|unknown table"
 
 
@@ -161,24 +163,32 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> No
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
-    """Rows of one micro-batch; writing the same batch again replaces them."""
+    """Rows of one micro-batch; writing the same batch again replaces them.
+
+    Batches stay for long, so they are packed with ``CODEC``.
+    """
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .partitionBy(*partitions, "batch_id")
         .parquet(path)
     )
 
 
-def _read_or_empty(spark: SparkSession, root: str, path: str, schema: StructType) -> DataFrame:
-    full = StructType([*schema.fields]).add("batch_id", LongType())
+def read_folder(spark: SparkSession, path: str, schema: StructType, root: str | None = None) -> DataFrame:
+    """The rows below ``path``, none where there is no such folder; partitions are those from ``root`` on."""
     try:
-        return spark.read.schema(full).option("basePath", root).parquet(path)
+        return spark.read.schema(schema).option("basePath", root or path).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return spark.createDataFrame([], schema)
+
+
+def _read_or_empty(spark: SparkSession, root: str, path: str, schema: StructType) -> DataFrame:
+    return read_folder(spark, path, StructType([*schema.fields]).add("batch_id", LongType()), root)
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

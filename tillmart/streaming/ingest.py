@@ -18,17 +18,19 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillmart.entities import ENTITIES
-from tillmart.operators.envelope import accepted, flatten, open_envelopes, rejected, with_month
-from tillmart.operators.mart import TARGETS, build_target, current
+from tillmart.operators.envelope import SENT, flatten, open_envelopes, opened_rows, with_month
+from tillmart.operators.mart import TARGETS, build_target, current, read_schema
 from tillmart.operators.versions import latest_by_key
-from tillmart.sources.folders import complete, partition_values
+from tillmart.sources.folders import NO_VALUE, complete, delete, partition_values
 from tillmart.sources.messages import ENVELOPE
-from tillmart.sources.sinks import read_batch, read_batches, write_batch
+from tillmart.sources.sinks import read_batch, read_batches, read_folder, write_batch
 
 DEAD_LETTERS = "dead_letters"
 DEAD_SCHEMA = StructType(
     [StructField(n, StringType()) for n in ("topic", "json_data", "event_time", "reject_reason")]
 )
+#: Rejected messages as they wait beside the raw rows.
+REFUSED = StructType([StructField(n, StringType()) for n in ("json_data", SENT, "reject_reason")])
 
 
 @dataclass(frozen=True)
@@ -68,7 +70,8 @@ def raw_schema(spark: SparkSession, topic: str) -> StructType:
 
 
 def read_raw(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
-    return read_batches(spark, layout.raw(topic), raw_schema(spark, topic))
+    """All raw rows; messages without a month wait to become dead letters."""
+    return read_batches(spark, layout.raw(topic), raw_schema(spark, topic)).where("event_month is not null")
 
 
 def read_dead_letters(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -109,21 +112,29 @@ def read_mart(spark: SparkSession, layout: Layout, name: str, as_of) -> DataFram
 def ingest_batch(
     batch: DataFrame, batch_id: int, layout: Layout, received_at, topics: Iterable[str]
 ) -> None:
-    """Writes raw rows and dead letters of one micro-batch.
+    """Writes raw rows and dead letters of one micro-batch; a message is opened once.
 
     Nothing is kept between the two writes: opened messages are many times the size of
     what they are made of, and would fill the memory or the disks of the executors. The
-    search for dead letters opens the messages once more instead.
+    rejected ones are written beside the raw rows, where they have no month and so are in
+    a folder of their own, and go once they are dead letters. A replay writes them again.
     """
+    spark, waiting = batch.sparkSession, []
     dead = batch.where(F.col("topic").isNull() | ~F.col("topic").isin(*topics)).select(
         "topic", "json_data", "event_time", F.lit("unknown topic").alias("reject_reason")
     )
     for topic in topics:
         entity = ENTITIES[topic]
         opened = open_envelopes(batch.where(F.col("topic") == topic), entity.schema, received_at)
-        write_batch(with_month(flatten(accepted(opened), entity)), layout.raw(topic), batch_id, ("event_month",))
-        dead = dead.unionByName(rejected(opened))
+        write_batch(opened_rows(opened, entity), layout.raw(topic), batch_id, ("event_month",))
+        waiting.append(f"{layout.raw(topic)}/event_month={NO_VALUE}")
+        refused = read_folder(spark, f"{waiting[-1]}/batch_id={batch_id}", REFUSED)
+        dead = dead.unionByName(refused.select(
+            F.lit(topic).alias("topic"), "json_data", F.col(SENT).alias("event_time"), "reject_reason"
+        ))
     write_batch(dead, layout.dead, batch_id)
+    for folder in waiting:
+        delete(spark, folder)
 
 
 def cascade_batch(
@@ -131,15 +142,16 @@ def cascade_batch(
 ) -> None:
     """Derives the mart versions of one batch from its written raw rows.
 
-    A topic is read once, whatever number of targets it feeds, and without the message
-    texts, which no target needs. What is read waits on disk, not in memory.
+    A topic is read once, whatever number of targets it feeds, and only what they need
+    of it. What is read waits on disk, not in memory.
     """
     for topic in topics:
         fed = [name for name, target in TARGETS.items() if target.source == topic]
         if not fed:
             continue
-        raw = read_batch(spark, layout.raw(topic), raw_schema(spark, topic), batch_id, ("event_month",))
-        raw = raw.drop("json_data").persist(StorageLevel.DISK_ONLY)
+        schema = read_schema(topic, raw_schema(spark, topic))
+        raw = read_batch(spark, layout.raw(topic), schema, batch_id, ("event_month",))
+        raw = raw.where("event_month is not null").drop("batch_id", "event_month").persist(StorageLevel.DISK_ONLY)
         try:
             for name in fed:
                 write_batch(build_target(name, raw, as_of, by_event_time=True), layout.mart(name), batch_id)
