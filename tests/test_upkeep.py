@@ -7,7 +7,10 @@ import shutil
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
+from tillmart.operators import mart
 from tillmart.plans import jobs, sample, upkeep
 from tillmart.sources import folders, messages, sinks
 from tillmart.streaming import ingest, windows
@@ -251,3 +254,57 @@ def test_a_batch_keeps_no_copies_of_its_messages_and_logs_are_compressed(spark,
     assert len(plans) == 2 and not any("InMemoryTableScan" in plan for plan in plans)
     messages.publish_files(sent, str(tmp_path / "log"))
     assert list((tmp_path / "log").glob("*.json.gz")) and not list((tmp_path / "log").glob("part-*.json"))
+
+
+def test_a_message_is_opened_once_and_rejected_ones_become_dead_letters(spark, tmp_path, monkeypatch):
+    layout = ingest.Layout(str(tmp_path / "root"))
+    bad = [("customers", "{", "t"), ("customers", "[1]", None), ("customers", None, "2001-06-19T00:00:00+03:00"), ("other", "{}", None)]
+    sent = spark.createDataFrame([customer(k, 19) for k in (1, 2)] + bad, messages.ENVELOPE)
+    plans, stop = [], [True]
+
+    def writing(df, path, *args):
+        plans.append((path, df._jdf.queryExecution().executedPlan().toString()))
+        if path == layout.dead and stop:
+            raise OSError("lost")
+        sinks.write_batch(df, path, *args)
+
+    monkeypatch.setattr(ingest, "write_batch", writing)
+    with pytest.raises(OSError):
+        ingest.ingest_batch(sent, 0, layout, AS_OF, ("customers",))
+    assert kept(spark, layout.root)[0] == [("c1", datetime(2001, 6, 19)), ("c2", datetime(2001, 6, 19))]
+    upkeep.apply_retention(spark, layout.root, AS_OF, 45, ("customers",))  # rows that wait have no month
+    stop.clear()
+    ingest.ingest_batch(sent, 0, layout, AS_OF, ("customers",))
+    dead = ingest.read_dead_letters(spark, layout).collect()
+    assert sorted((str(r.topic), str(r.json_data), str(r.event_time), r.reject_reason) for r in dead) == [
+        ("customers", "None", "2001-06-19T00:00:00+03:00", "missing json_data"), ("customers", "[1]", "None", "not an object"),
+        ("customers", "{", "t", "invalid json"), ("other", "{}", "None", "unknown topic")]
+    assert sorted(r.customer_id for r in ingest.read_raw(spark, layout, "customers").collect()) == ["c1", "c2"]
+    assert folders.names(spark, layout.raw("customers")) == ["event_month=200106"]
+    opened = {path for path, plan in plans if "from_json" in plan}
+    assert opened == {layout.raw("customers")}
+
+
+def test_late_purchases_are_chosen_before_their_documents_are_made(spark, sample_dir):
+    late = sample.envelopes(spark, sample_dir, "purchases", id_ends="7")
+    every = sample.envelopes(spark, sample_dir, "purchases")
+    want = every.where(F.get_json_object("json_data", "$.purchase_id").endswith("7"))
+
+    def told(df):
+        return sorted((len(r.json_data), sorted(r.json_data), r.event_time) for r in df.collect())
+
+    assert told(late) == told(want) and 0 < late.count() < every.count()
+    assert "get_json_object" not in plan_of(late) and "EndsWith" in plan_of(late)
+
+
+def test_batches_are_packed_and_the_mart_reads_only_what_it_needs(spark, sample_dir, tmp_path, monkeypatch):
+    layout = ingest.Layout(str(tmp_path / "root"))
+    plans = []
+    ingest.ingest_batch(sample.envelopes(spark, sample_dir, "purchases"), 0, layout, AS_OF, ("purchases",))
+    assert all(p.name.endswith(".zstd.parquet") for p in (tmp_path / "root" / "raw").rglob("part-*"))
+    whole = mart.build_target("fact_purchase_items", ingest.read_raw(spark, layout, "purchases"), AS_OF, True)
+    monkeypatch.setattr(ingest, "write_batch", lambda df, path, *_: plans.append((path, plan_of(df), df.collect())))
+    ingest.cascade_batch(spark, 0, layout, AS_OF, ("purchases",))
+    assert len(plans) == 3 and not any(n in plan for _, plan, _ in plans for n in ("customer_first_name", "manufacturer_website"))
+    rows = next(rows for path, _, rows in plans if path == layout.mart("fact_purchase_items"))
+    assert sorted(map(str, rows)) == sorted(map(str, whole.collect())) and rows

@@ -1189,9 +1189,7 @@ def _(spark, d):
         pass
     finally:
         upkeep.delete = folders.delete
-    again = sample.envelopes(spark, d, "purchases")
-    again = again.where(F.get_json_object("json_data", "$.purchase_id").endswith("7"))
-    messages.publish_files(again, f"{root}/log")
+    messages.publish_files(sample.envelopes(spark, d, "purchases", id_ends="7"), f"{root}/log")
     _ingest_more(spark, root, "purchases", with_mart=False, files=1000)
     upkeep.apply_retention(spark, root, AS_OF, 45, ("purchases",))
     rows = ingest.read_raw(spark, ingest.Layout(root), "purchases")

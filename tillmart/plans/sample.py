@@ -313,15 +313,16 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _source(
-    spark: SparkSession, sf_dir: str, relation: str, stream: bool = False, line: str = "struct(*)"
+    spark: SparkSession, sf_dir: str, relation: str, stream: bool = False, line: str = "struct(*)", keep: Column | None = None
 ) -> DataFrame:
-    """Rows of a relation; ``line`` is what a basket holds for each line."""
+    """Rows of a relation; ``line`` is what a basket holds for each line, and ``keep`` says which rows are wanted."""
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     first = {STORE_FROM: "supplier", ORDERS_FROM: "orders", BASKETS_FROM: "orders"}.get(relation, relation)
     rows = table_stream(spark, sf_dir, first) if stream else read(first)
+    rows = rows if keep is None else rows.where(keep)
     if relation == STORE_FROM:
         return (
             rows
@@ -342,6 +343,9 @@ def _source(
         used = [c for c in lines.columns if c == "l_orderkey" or line == "struct(*)" or re.search(rf"\b{c}\b", line)]
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         lines = lines.select(*used).repartition(parts, "l_orderkey")
+        if keep is not None:  # no baskets for orders that are not wanted
+            wanted = rows.select(F.col("o_orderkey").alias("wanted_key")).distinct()
+            lines = lines.join(wanted, F.col("l_orderkey") == F.col("wanted_key")).drop("wanted_key")
         lines = lines.select(F.col("l_orderkey").alias("basket_key"), F.expr(line).alias("line"))
         baskets = lines.groupBy("basket_key").agg(F.collect_list("line").alias("basket"))
         return rows.join(baskets, F.col("o_orderkey") == F.col("basket_key"), "left")
@@ -429,13 +433,19 @@ def documents(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     )
 
 
-def envelopes(spark: SparkSession, sf_dir: str, topic: str, stream: bool = False) -> DataFrame:
-    """Documents of one topic as envelopes with their publish time."""
+def envelopes(
+    spark: SparkSession, sf_dir: str, topic: str, stream: bool = False, id_ends: str | None = None
+) -> DataFrame:
+    """Documents of one topic as envelopes with their publish time, or those whose id ends in ``id_ends``.
+
+    The id is looked at before the documents are made.
+    """
     relation, key, exprs = DOCUMENTS[topic]
     entity = ENTITIES[topic]
     clock = F.expr(event_time(key)).cast("timestamp_ntz")
     stamp = F.concat(F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+03:00"))
-    return _source(spark, sf_dir, relation, stream, _item_struct()).select(
+    keep = None if id_ends is None else F.expr(exprs[entity.id_column]).endswith(id_ends)
+    return _source(spark, sf_dir, relation, stream, _item_struct(), keep).select(
         F.lit(topic).alias("topic"),
         F.to_json(F.struct(*_nested(entity.schema, exprs, entity.list_fields))).alias("json_data"),
         stamp.alias("event_time"),
